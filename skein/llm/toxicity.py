@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain (operator 8).
 
 Categories are predicted one after another by logistic models over the presence of words; each
-later model also reads the earlier categories' logits. For training, those come from models that
+later model also reads the earlier categories' probabilities. For training, those come from models that
 have not seen the row (out of fold), so that later models learn from what they will meet. Words
 are chosen by how far their rates in the category and outside it lie apart, in standard errors.
 
@@ -53,7 +53,7 @@ def word_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 @dataclass
 class Model:
-    """A logistic model over chosen words (sorted hashes) and the logits of earlier categories."""
+    """A logistic model over chosen words (sorted hashes) and the probabilities of earlier categories."""
 
     words: np.ndarray
     weights: np.ndarray
@@ -114,11 +114,11 @@ class Chain:
     def logits(self, flat: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros((n, 0))
         for m in self.models:
-            out = np.hstack([out, m.logit(presence(flat, row, n, m.words), out)[:, None]])
+            out = np.hstack([out, m.logit(presence(flat, row, n, m.words), _sigmoid(out))[:, None]])
         return out
 
 
-def train_chain(sets: list[np.ndarray], fold: np.ndarray, labels: dict[str, np.ndarray], most: int = 200, least_z: float = 6.0) -> Chain:
+def train_chain(sets: list[np.ndarray], fold: np.ndarray, labels: dict[str, np.ndarray], most: int = 240, least_z: float = 5.5) -> Chain:
     """The chain over the categories in their order; the last one's threshold is the best F1 out of fold."""
     n = len(sets)
     flat = np.concatenate([*sets, np.zeros(0, np.int64)]).view(np.uint64)
@@ -137,20 +137,21 @@ def train_chain(sets: list[np.ndarray], fold: np.ndarray, labels: dict[str, np.n
             out[test] = Model(words, w, b).logit(x[test], unseen[test])
         words = choose_words(flat, row, y, most, least_z) if n else np.zeros(0, np.uint64)
         models.append(Model(words, *fit(np.hstack([presence(flat, row, n, words), unseen]), y)))
-        unseen = np.hstack([unseen, out[:, None]])
+        unseen = np.hstack([unseen, _sigmoid(out)[:, None]])
     threshold = 0.5
     if n and 0 < y.sum() < n:
         order = np.argsort(-out, kind="stable")
         hit = np.cumsum(y[order])
         f1 = 2 * hit / (np.arange(1, n + 1) + y.sum())
         f1[:-1][out[order][:-1] == out[order][1:]] = -1  # equal scores are not cut apart
+        f1[:-1][out[order][1:] > 0] = -1  # never above one half
         k = int(f1.argmax())
         below = out[order[k + 1]] if k + 1 < n else out[order[k]] - 1
         threshold = float(_sigmoid(np.array([(out[order[k]] + below) / 2]))[0])
     return Chain(list(labels), models, threshold)
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 8000) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 12_000) -> Chain:
     """A chain for categories (name: a boolean over text and the labels' columns), in their order.
 
     docs: doc_id, text; labels: doc_id and the label columns. At most max_rows labelled documents are used.
