@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import text_chunks, word_bytes_table, word_hashes
 
 FOLDS = 5
+#: A cut of which fewer rejections are right is not taken; without any such cut the threshold is one half.
+LEAST_PRECISION = 0.9
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -145,9 +147,11 @@ def train_chain(sets: list[np.ndarray], fold: np.ndarray, labels: dict[str, np.n
         f1 = 2 * hit / (np.arange(1, n + 1) + y.sum())
         f1[:-1][out[order][:-1] == out[order][1:]] = -1  # equal scores are not cut apart
         f1[:-1][out[order][1:] > 0] = -1  # never above one half
+        f1[hit < LEAST_PRECISION * np.arange(1, n + 1)] = -1
         k = int(f1.argmax())
-        below = out[order[k + 1]] if k + 1 < n else out[order[k]] - 1
-        threshold = float(_sigmoid(np.array([(out[order[k]] + below) / 2]))[0])
+        if f1[k] > 0:
+            below = out[order[k + 1]] if k + 1 < n else out[order[k]] - 1
+            threshold = float(_sigmoid(np.array([(out[order[k]] + below) / 2]))[0])
     return Chain(list(labels), models, threshold)
 
 
