@@ -165,3 +165,22 @@ def text_chunks(column, size: int = 1 << 20):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield i, j - i, data[offsets[i] : offsets[j]], offsets[i + 1 : j + 1] - offsets[i]
         i = j
+
+
+class Memory:
+    """What a worker remembers of words: at most about twice limit entries, the ones met lately."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def of(self, words: set, learn) -> dict:
+        """A dict that has all the words; learn(list) gives the pairs of those not remembered."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        new = words.difference(self.young)
+        again = new.intersection(self.old)
+        self.young.update((w, self.old[w]) for w in again)
+        new -= again
+        if new:
+            self.young.update(learn(list(new)))
+        return self.young

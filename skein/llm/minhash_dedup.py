@@ -9,7 +9,8 @@
    population counts estimate similarities, and each member's closest partner becomes a candidate.
 4. Candidates are confirmed on full shingle sets, and components are taken.
 5. Members outside a band's dominant component meet all chunks of that band, which yields further
-   candidates across components: first the best few of each member, then all that are left.
+   candidates across components: first the best few of each member, then all that are left, for
+   which finer sketches (2048 samples in 4096 bits) keep the candidates near the threshold few.
    Pairs inside a component are never listed, so a hot group of near copies costs little.
 
 Rows with a null doc_id count as one document id of their own (null stays null in the result).
@@ -31,6 +32,8 @@ from .common import Table, components, mix, saved, text_chunks, word_bytes_table
 SAMPLES, ROWS, BITS, CHUNK = 256, 8, 512, 1024
 #: Pairs whose estimate is lower are not confirmed: over four standard errors below 0.85.
 SLACK = 0.10
+#: The same for the finer sketches of what is left at last.
+FINE_SAMPLES, FINE_BITS, FINE_SLACK = 2048, 4096, 0.04
 
 
 def _constants(samples: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,11 +62,11 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, size: int) -> Iterator[np.n
             yield np.unique(rolled[a : b - size + 1])
 
 
-def min_samples(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def min_samples(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 2048) -> np.ndarray:
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.full(len(a), 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(x), 2048):
-        t = a[:, None] * x[None, k : k + 2048]
+    for k in range(0, len(x), block):
+        t = a[:, None] * x[None, k : k + block]
         t += b[:, None]
         np.minimum(out, t.min(axis=1), out=out)
     return out
@@ -136,15 +139,28 @@ def _bounds(t: pa.Table, keys: int) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(t))
 
 
-def _sketches(t: pa.Table) -> np.ndarray:
+def _sketches(t: pa.Table, bits: int = BITS) -> np.ndarray:
     raw = t.column("sketch").combine_chunks()
     raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
     at = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]
-    return np.frombuffer(raw.buffers()[2], np.uint8, len(t) * BITS // 8, at).view(np.uint64).reshape(len(t), -1)
+    return np.frombuffer(raw.buffers()[2], np.uint8, len(t) * bits // 8, at).view(np.uint64).reshape(len(t), -1)
 
 
-def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return similarity(np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64))
+def _estimates(x: np.ndarray, y: np.ndarray, samples: int = SAMPLES, bits: int = BITS) -> np.ndarray:
+    return similarity(np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64), samples, bits)
+
+
+def fine_sketches(texts: DataFrame, shingle: int) -> DataFrame:
+    """rep and sketch, from more samples and bits, for texts (rep, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _constants(FINE_SAMPLES)
+        for batch in batches:
+            for i, n, data, ends in text_chunks(batch.column(1)):
+                sketches = [odd_sketch(min_samples(s, a, b, 256), FINE_BITS).tobytes() for s in shingle_sets(data, ends, shingle)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array(sketches, pa.binary())], ["rep", "sketch"])
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, sketch binary")
 
 
 PAIRS = "a long, b long"
@@ -178,19 +194,19 @@ def closest(groups: DataFrame, least: float) -> DataFrame:
     return groups.mapInArrow(run, PAIRS).distinct()
 
 
-def across(groups: DataFrame, least: float, top: int | None) -> DataFrame:
+def across(groups: DataFrame, least: float, top: int | None, samples: int = SAMPLES, bits: int = BITS) -> DataFrame:
     """Candidates between components: each stranger of a (key, chunk) with its best members of other components (all, if top is None)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 2):
-            at, rep, comp, sk = _bounds(t, 2), np.asarray(t.column("rep")), np.asarray(t.column("comp")), _sketches(t)
+            at, rep, comp, sk = _bounds(t, 2), np.asarray(t.column("rep")), np.asarray(t.column("comp")), _sketches(t, bits)
             stranger, home = np.asarray(t.column("stranger")), np.asarray(t.column("home"))
             found = []
             for s, e in zip(at[:-1], at[1:]):
                 rows, cols = s + np.flatnonzero(stranger[s:e]), s + np.flatnonzero(home[s:e])
-                for k in range(0, len(rows), 128):
-                    r = rows[k : k + 128]
-                    est = _estimates(sk[r], sk[cols])
+                for k in range(0, len(rows), 32):
+                    r = rows[k : k + 32]
+                    est = _estimates(sk[r], sk[cols], samples, bits)
                     est[comp[r][:, None] == comp[cols][None, :]] = -1
                     ok = est >= least
                     if top is not None and len(cols) > top:
@@ -243,7 +259,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     pairs = saved(closest(dealt(groups.select("key", "chunk", "rep", "sketch")), least), "pairs")
     wanted = pairs.select("a").union(pairs.select("b")).union(groups.where(f"size > {CHUNK}").select("rep")).toDF("rep").distinct()
-    texts = saved(docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted, "rep").groupBy("rep").agg(F.min("text").alias("text")), "texts")
+    texts = saved(docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text")), "texts")
     links = saved(confirmed(pairs, texts, shingle, percent), "confirmed")
     tried = pairs
     for top in (3, None):
@@ -256,7 +272,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         g = g.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
         at = F.when(F.col("stranger"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
         g = g.withColumn("at", F.explode(at)).select("key", F.col("at").alias("chunk"), "rep", "sketch", "comp", "stranger", (F.col("at") == F.col("chunk")).alias("home"))
-        new = saved(across(dealt(g), least, top).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if top is None:  # all that is left, by finer sketches; whatever has no text has no candidate
+            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "comp", "stranger", "home")), percent / 100 - FINE_SLACK, None, FINE_SAMPLES, FINE_BITS)
+        else:
+            found = across(dealt(g), least, top)
+        new = saved(found.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed"))
         tried = tried.union(new)
     comp = saved(components(links), "components")

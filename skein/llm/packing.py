@@ -23,8 +23,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import Memory
+
 GROUP = 4096
-#: Words that a worker remembers at most; beyond that it starts anew.
+#: Words that a worker remembers (see Memory).
 REMEMBERED = 400_000
 _SEEN: dict[str, tuple] = {}
 
@@ -34,22 +36,37 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _SEEN[path] = (Tokenizer.from_file(path), {})
+        _SEEN[path] = (Tokenizer.from_file(path), Memory(REMEMBERED))
     return _SEEN[path]
 
 
+def _parts(word: str) -> tuple[str, str]:
+    """(word, closing mark): a full stop or comma behind a letter is a token by itself, and ASCII letters are read in lower case."""
+    core, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[-2:-1].isalpha() else (word, "")
+    return (core.lower() if core.isascii() and "<" not in core else core), tail
+
+
 def encode_words(texts: list[str], path: str) -> Iterator[bytes]:
     """Each text's ids (little-endian uint32), for a tokenizer that drops white space and never looks across it."""
-    tokenizer, known = _tokenizer(path)
+    tokenizer, memory = _tokenizer(path)
+
+    def encoded(words: list[str]) -> dict[str, bytes]:
+        return {w: np.array(e.ids, "<u4").tobytes() for i in range(0, len(words), 4096) for w, e in zip(words[i : i + 4096], tokenizer.encode_batch(words[i : i + 4096], add_special_tokens=False))}
+
+    def learn(words: list[str]) -> Iterator[tuple[str, bytes]]:
+        parts = [_parts(w) for w in words]
+        ids, known, old = {}, memory.young, memory.old
+        new = []
+        for core in {c for c, _ in parts} | {t for _, t in parts}:
+            if (v := known.get(core) or old.get(core)) is None:
+                new.append(core)
+            else:
+                ids[core] = v
+        ids |= encoded(new)
+        return [(w, ids[c] + ids[t]) for w, (c, t) in zip(words, parts)] + [(c, ids[c]) for c in new]
+
     split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    new = list(set().union(*split).difference(known))
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(set().union(*split))
-    for i in range(0, len(new), 4096):
-        part = new[i : i + 4096]
-        for word, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-            known[word] = np.array(e.ids, "<u4").tobytes()
+    known = memory.of(set().union(*split), learn)
     for words in split:
         yield b"".join(map(known.__getitem__, words))
 

@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix
+from .common import Memory, mix
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-BATCH_BYTES, REMEMBERED, SLOTS = 400_000, 400_000, 1 << 21
+BATCH_BYTES, REMEMBERED, SLOTS = 400_000, 300_000, 1 << 21
 _LOADED: dict[str, "Codec"] = {}
 
 
@@ -67,7 +67,7 @@ class Codec:
         for b, i in enumerate(self.byte):
             self.raw[i] = bytes([b])
         self.raw[sp.unk_id()] = " ⁇ ".encode()
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(REMEMBERED)
         # pieces that merging can reach, apart from runs of spaces
         reach = [i for i in plain if self.piece[i].strip(SPACE) == "" and len(self.piece[i]) == 1 or self.piece[i].strip(SPACE) and self.merge(self.piece[i]) == [i]]
         reach.sort(key=lambda i: self.piece[i].encode())
@@ -241,19 +241,18 @@ class Codec:
         cut = np.concatenate(([0], np.cumsum(np.bincount(word, n, len(words))))).astype(np.int64) * 4
         return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
-    def learn(self, words: list[str]) -> None:
-        batch, size = [], 0
+    def learn(self, words: list[str]) -> list[tuple[str, bytes]]:
+        out, batch, size = [], [], 0
         for w in words:
             if SPACE * 2 in w:
-                self.known[w] = np.array(self.merge(w), "<i4").tobytes()
+                out.append((w, np.array(self.merge(w), "<i4").tobytes()))
                 continue
             batch.append(w)
             size += len(w) + 3
             if size > BATCH_BYTES:
-                self.known.update(zip(batch, self.relax(batch)))
+                out += zip(batch, self.relax(batch))
                 batch, size = [], 0
-        if batch:
-            self.known.update(zip(batch, self.relax(batch)))
+        return out + list(zip(batch, self.relax(batch))) if batch else out
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         split = []
@@ -264,12 +263,8 @@ class Codec:
                 split.append(WORD.findall(SPACE + t.replace(" ", SPACE)))
             else:
                 split.append((SPACE + t.replace(" ", " " + SPACE)).split(" "))
-        new = list(set().union(*split).difference(self.known)) if split else []
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*split))
-        self.learn(new)
-        return [None if t is None else b"".join(map(self.known.__getitem__, w)) for t, w in zip(texts, split)]
+        known = self.known.of(set().union(*split), self.learn)
+        return [None if t is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, split)]
 
     def decode(self, ids: list[int]) -> str:
         out = b"".join(map(self.raw.__getitem__, ids))

@@ -19,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .common import Memory
+
 #: Fixed value: the public byte-level pattern that splits texts into pre-tokens.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 REMEMBERED = 500_000
@@ -46,7 +48,7 @@ class Merger:
         order = np.argsort(key)
         self.key, self.rank = key[order], order.astype(np.int64)
         self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        self.known: dict[str, int] = {}
+        self.known = Memory(REMEMBERED)
 
     def count_all(self, words: list[str]) -> np.ndarray:
         """Symbols that survive in each word."""
@@ -103,12 +105,8 @@ class Merger:
                     own += [head] if head else []
                     own += [" " + p for p in rest]
             pieces.append(own)
-        new = list(set().union(*pieces).difference(self.known)) if pieces else []
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*pieces))
-        self.known.update(self.learn(new))
-        return [n + sum(map(self.known.__getitem__, p)) for n, p in zip(out, pieces)]
+        known = self.known.of(set().union(*pieces), lambda new: self.learn(new).items())
+        return [n + sum(map(known.__getitem__, p)) for n, p in zip(out, pieces)]
 
 
 def merger(path: str) -> Merger:
