@@ -195,12 +195,16 @@ def closest(groups: DataFrame, least: float) -> DataFrame:
 
 
 def across(groups: DataFrame, least: float, top: int | None, samples: int = SAMPLES, bits: int = BITS) -> DataFrame:
-    """Candidates between components: each stranger of a (key, chunk) with its best members of other components (all, if top is None)."""
+    """Candidates between components: each stranger of a (key, chunk) with its best members of other components (all, if top is None).
+
+    A pair meets in every band it shares; only the first of them takes it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 2):
             at, rep, comp, sk = _bounds(t, 2), np.asarray(t.column("rep")), np.asarray(t.column("comp")), _sketches(t, bits)
             stranger, home = np.asarray(t.column("stranger")), np.asarray(t.column("home"))
+            key, bands = np.asarray(t.column("key")), np.array(t.column("bands").to_pylist(), np.int64).reshape(len(t), -1)
             found = []
             for s, e in zip(at[:-1], at[1:]):
                 rows, cols = s + np.flatnonzero(stranger[s:e]), s + np.flatnonzero(home[s:e])
@@ -208,6 +212,10 @@ def across(groups: DataFrame, least: float, top: int | None, samples: int = SAMP
                     r = rows[k : k + 32]
                     est = _estimates(sk[r], sk[cols], samples, bits)
                     est[comp[r][:, None] == comp[cols][None, :]] = -1
+                    x, y = np.nonzero(est >= least)
+                    shared = bands[r[x]] == bands[cols[y]]
+                    later = bands[r[x], shared.argmax(axis=1)] != key[s]
+                    est[x[later], y[later]] = -1
                     ok = est >= least
                     if top is not None and len(cols) > top:
                         ok &= est >= np.partition(est, -top, axis=1)[:, -top][:, None]
@@ -252,7 +260,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     keyed = reps.select("rep", F.explode("bands").alias("key")).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
     # a hot band is dealt out over chunks by a hash of the member
     chunk = F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("size") / CHUNK)).cast("int")
-    groups = saved(keyed.withColumn("chunk", chunk).join(reps.select("rep", "sketch"), "rep"), "bands")
+    groups = saved(keyed.withColumn("chunk", chunk).join(reps, "rep"), "bands")
 
     def dealt(g: DataFrame) -> DataFrame:
         return g.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "rep")
@@ -264,16 +272,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     tried = pairs
     for top in (3, None):
         comp = saved(components(links), "components")
-        g = groups.join(comp, F.col("rep") == F.col("node"), "left").select("key", "chunk", "rep", "sketch", "size", F.coalesce("component", "rep").alias("comp"))
+        g = groups.join(comp, F.col("rep") == F.col("node"), "left").select("key", "chunk", "rep", "sketch", "bands", "size", F.coalesce("component", "rep").alias("comp"))
         counts = g.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
         mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1").select("key", "main")
         g = g.join(mixed, "key").withColumn("stranger", F.col("comp") != F.col("main"))
         # strangers to a band's main component meet every chunk of it; the others stay in their own
         g = g.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
         at = F.when(F.col("stranger"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-        g = g.withColumn("at", F.explode(at)).select("key", F.col("at").alias("chunk"), "rep", "sketch", "comp", "stranger", (F.col("at") == F.col("chunk")).alias("home"))
+        g = g.withColumn("at", F.explode(at)).select("key", F.col("at").alias("chunk"), "rep", "sketch", "bands", "comp", "stranger", (F.col("at") == F.col("chunk")).alias("home"))
         if top is None:  # all that is left, by finer sketches; whatever has no text has no candidate
-            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "comp", "stranger", "home")), percent / 100 - FINE_SLACK, None, FINE_SAMPLES, FINE_BITS)
+            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "bands", "comp", "stranger", "home")), percent / 100 - FINE_SLACK, None, FINE_SAMPLES, FINE_BITS)
         else:
             found = across(dealt(g), least, top)
         new = saved(found.join(tried, ["a", "b"], "left_anti"), "pairs")
