@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import text_chunks, word_bytes_table, word_hashes
@@ -73,11 +74,15 @@ def fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 30) -> tuple
     w[k] = np.log(rate / (1 - rate))
     if y.min(initial=1) == y.max(initial=0) or n == 0:
         return w[:k], float(w[k])
-    z = np.hstack([x, np.ones((n, 1))])
     ridge = np.append(np.full(k, l2), 1e-6)
     for _ in range(steps):
-        p = _sigmoid(z @ w)
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (y - p) - ridge * w)
+        curve, slope = np.diag(ridge), -ridge * w
+        for i in range(0, n, 1000):  # in blocks of rows, for the driver's memory
+            z = np.hstack([x[i : i + 1000], np.ones((len(x[i : i + 1000]), 1))])
+            p = _sigmoid(z @ w)
+            curve = curve + (z * (p * (1 - p))[:, None]).T @ z
+            slope = slope + z.T @ (y[i : i + 1000] - p)
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -99,7 +104,7 @@ def choose_words(flat: np.ndarray, row: np.ndarray, y: np.ndarray, most: int, le
 
 
 def presence(flat: np.ndarray, row: np.ndarray, n: int, words: np.ndarray) -> np.ndarray:
-    x = np.zeros((n, len(words)))
+    x = np.zeros((n, len(words)), np.float32)
     if len(words) and len(flat):
         at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
         hit = words[at] == flat
@@ -120,11 +125,13 @@ class Chain:
         return out
 
 
-def train_chain(sets: list[np.ndarray], fold: np.ndarray, labels: dict[str, np.ndarray], most: int = 240, least_z: float = 5.5) -> Chain:
-    """The chain over the categories in their order; the last one's threshold is the best F1 out of fold."""
-    n = len(sets)
-    flat = np.concatenate([*sets, np.zeros(0, np.int64)]).view(np.uint64)
-    row = np.repeat(np.arange(n), [len(s) for s in sets])
+def train_chain(flat: np.ndarray, sizes: np.ndarray, fold: np.ndarray, labels: dict[str, np.ndarray], most: int = 240, least_z: float = 5.5) -> Chain:
+    """The chain over the categories in their order; the last one's threshold is the best F1 out of fold.
+
+    flat: the rows' distinct word hashes behind one another, sizes of them each.
+    """
+    n = len(sizes)
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
     unseen, models = np.zeros((n, 0)), []
     for y in labels.values():
         y = y.astype(float)
@@ -165,10 +172,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # at most max_rows ids and labels
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", *(c.cast("int").alias(k) for k, c in categories.items()))
-    got = word_sets(rows, ["doc_id", *categories]).orderBy("doc_id").limit(max_rows).toPandas()
-    got = got.fillna({k: 0 for k in categories})
-    fold = ((got["doc_id"].to_numpy(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(FOLDS)
-    return train_chain([np.asarray(w, np.int64) for w in got["words"]], fold, {k: got[k].to_numpy() for k in categories})
+    got = word_sets(rows, ["doc_id", *categories]).orderBy("doc_id").limit(max_rows).toArrow()
+    fold = ((got["doc_id"].to_numpy().astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(FOLDS)
+    words = got["words"].combine_chunks()
+    size = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    return train_chain(flat.view(np.uint64), size, fold, {k: pa.compute.fill_null(got[k], 0).to_numpy() for k in categories})
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
