@@ -2,49 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name, with its SQL if there is one."""
-
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql is not None:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""
-SELECT n_name, count(*) AS n_items, sum(CAST(round(l_extendedprice * (1 - l_discount) * 10000) AS BIGINT)) AS revenue_e4
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_name
-""")
-def revenue_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 10000)).cast("long").alias("r"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    by = joined.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_items"), F.sum("r").alias("revenue_e4"))
-    return by.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n_items", "revenue_e4")
+from . import keyed, relational  # noqa: F401  they register their queries
+from .tables import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
