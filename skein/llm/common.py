@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -184,3 +185,16 @@ class Memory:
         if new:
             self.young.update(learn(list(new)))
         return self.young
+
+    def lists(self, split: list[list[str]], learn) -> Iterator[list]:
+        """For each list of words, the list of what is remembered of them; learn(list) gives the pairs of those that are not."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        found = [list(map(self.young.get, words)) for words in split]
+        missing = {w for words, values in zip(split, found) if None in values for w, v in zip(words, values) if v is None}
+        again = [w for w in missing if w in self.old]
+        self.young.update((w, self.old[w]) for w in again)
+        missing.difference_update(again)
+        self.young.update(learn(list(missing)))
+        for words, values in zip(split, found):
+            yield [self.young[w] if v is None else v for w, v in zip(words, values)] if None in values else values

@@ -1,7 +1,7 @@
 """Best-two-fit packing of tokenized documents into sequences (operator 6).
 
-Documents are tokenized in Arrow batches (each distinct word once per worker, as the tokenizer
-treats words apart), cut only if longer than a sequence, and dealt out over groups by a hash. The
+Documents are tokenized in Arrow batches (each distinct piece of a text once per worker, as the
+tokenizer never looks across their ends), cut only if longer than a sequence, and dealt out over groups by a hash. The
 number of groups follows the corpus, so a group has about GROUP sequences' tokens at every size;
 each wastes less than one sequence more than a single group would.
 
@@ -16,6 +16,7 @@ Ties are broken by doc_id and piece. An empty table gives no piece.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,44 +32,58 @@ REMEMBERED = 400_000
 _SEEN: dict[str, tuple] = {}
 
 
+#: Pieces that may be encoded by themselves: runs of Latin-1 letters and runs of other Latin-1 characters,
+#: unless an apostrophe (which may open a contraction) or a further character follows; then all up to the next space.
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_RUNS = re.compile(rf"[{_LETTER}]++(?!['\u0100-\U0010ffff])|[^ \t\n\r'{_LETTER}\u0100-\U0010ffff]++(?!['\u0100-\U0010ffff])|[^ \t\n\r]+")
+_WHOLE = re.compile(r"[^ \t\n\r]+")
+
+
 def _tokenizer(path: str):
     if path not in _SEEN:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _SEEN[path] = (Tokenizer.from_file(path), Memory(REMEMBERED))
+        tokenizer = Tokenizer.from_file(path)
+        vocab = tokenizer.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        _SEEN[path] = (tokenizer, ends, Memory(REMEMBERED))
     return _SEEN[path]
 
 
-def _parts(word: str) -> tuple[str, str]:
-    """(word, closing mark): a full stop or comma behind a letter is a token by itself, and ASCII letters are read in lower case."""
-    core, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[-2:-1].isalpha() else (word, "")
-    return (core.lower() if core.isascii() and "<" not in core else core), tail
+def _pieces(text: str) -> list[str]:
+    """Pieces of a text across whose ends the tokenizer never looks."""
+    if "<|" in text:  # perhaps a special token, which counts as it is spelt
+        return _WHOLE.findall(text)
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:  # lower case and composition may depend on one another
+        return _RUNS.findall(text)
+    return _RUNS.findall(text.lower())
 
 
 def encode_words(texts: list[str], path: str) -> Iterator[bytes]:
     """Each text's ids (little-endian uint32), for a tokenizer that drops white space and never looks across it."""
-    tokenizer, memory = _tokenizer(path)
-
-    def encoded(words: list[str]) -> dict[str, bytes]:
-        return {w: np.array(e.ids, "<u4").tobytes() for i in range(0, len(words), 4096) for w, e in zip(words[i : i + 4096], tokenizer.encode_batch(words[i : i + 4096], add_special_tokens=False))}
-
-    def learn(words: list[str]) -> Iterator[tuple[str, bytes]]:
-        parts = [_parts(w) for w in words]
-        ids, known, old = {}, memory.young, memory.old
-        new = []
-        for core in {c for c, _ in parts} | {t for _, t in parts}:
-            if (v := known.get(core) or old.get(core)) is None:
-                new.append(core)
+    tokenizer, ends, memory = _tokenizer(path)
+
+    def learn(new: list[str]) -> Iterator[tuple[str, bytes]]:
+        letters, mixed = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        for i in range(0, len(letters), 2048):
+            part = letters[i : i + 2048]
+            ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(ends[ids]) + 1
+            if len(at) == len(part):  # each is one word of the tokenizer's, too
+                raw, at = ids.tobytes(), (4 * at).tolist()
+                yield from zip(part, (raw[s:e] for s, e in zip([0, *at], at)))
             else:
-                ids[core] = v
-        ids |= encoded(new)
-        return [(w, ids[c] + ids[t]) for w, (c, t) in zip(words, parts)] + [(c, ids[c]) for c in new]
-
-    split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    known = memory.of(set().union(*split), learn)
-    for words in split:
-        yield b"".join(map(known.__getitem__, words))
+                mixed += part
+        for i in range(0, len(mixed), 4096):
+            part = mixed[i : i + 4096]
+            yield from zip(part, (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(part, add_special_tokens=False)))
+
+    for ids in memory.lists([_pieces(t) for t in texts], learn):
+        yield b"".join(ids)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
