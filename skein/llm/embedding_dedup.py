@@ -1,9 +1,15 @@
 """Embedding near-dedup over a pivot-permutation index (operator 7).
 
-Pivots are a bounded sample of the vectors: the PIVOTS distinct ones with the smallest hashes. Each
-vector is described by its NEAREST pivots in order of their cosine, and is entered into the inverted
-list of every pair of them; two vectors meet in a list if they share at least two of their nearest
-pivots. Where the share count is higher they meet more than once, and only the list of the two
+Pivots come from a bounded sample of the distinct vectors, in order of their hashes: up to PIVOTS of
+them, none of which has a cosine of HOME or more with an earlier one, filled up with fixed directions.
+A pivot that kept another vector of the sample out is dense. A vector whose cosine with a dense pivot
+is HOME or more has the nearest such pivot as its home: it enters that pivot's own list, and so does
+every vector whose angle with the pivot lets it have a link to one at home there. Links of vectors at
+home are thus all found, however large the group of near copies is.
+
+Each other vector is described by its NEAREST pivots in order of their cosine, and is entered into the
+inverted list of every pair of them; two vectors meet in a list if they share at least two of their
+nearest pivots. Where the share count is higher they meet more than once, and only the list of the two
 smallest shared pivots keeps the pair. Pairs are verified by their cosine in double precision.
 
 Equal vectors collapse into one representative with a count. Lists longer than BLOCK are cut into
@@ -13,7 +19,7 @@ vector, the number of its links and a forest of them instead of all pairs.
 Vectors that are null, empty, zero, of another length than the pivots, or hold null or non-finite
 components have no links. Rows that repeat a vec_id count each; if their vectors differ, the vec_id is
 one node, whose links are summed. Without rows the result is empty; other columns are ignored.
-Recall is that of the index (see the tests); no pair below the threshold is ever linked.
+Recall is that of the index for the others (figures in the README); no pair below the threshold is ever linked.
 """
 
 from __future__ import annotations
@@ -28,6 +34,9 @@ from .common import components, saved
 from .minhash_dedup import _bounds, _groups
 
 PIVOTS, NEAREST, BLOCK = 256, 6, 1024
+#: Vectors sampled for each pivot.
+SAMPLED = 4
+HOME = 0.85
 
 
 
@@ -52,33 +61,59 @@ def vectors(rows: DataFrame, ids: str, embedding: str) -> DataFrame:
     return rows.select(F.col(ids).cast("long").alias("vec_id"), packed(embedding).alias("v"))
 
 
-def sample_pivots(classes: DataFrame, pivots: int) -> tuple[np.ndarray, int]:
-    """At most pivots unit vectors of the length that most of a bounded sample have, and that length in bytes."""
-    some = [bytes(r.v) for r in classes.orderBy(F.xxhash64("v"), "v").limit(pivots).collect()]
+def sample_pivots(classes: DataFrame, pivots: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pivots (unit vectors of the length that most of a bounded sample have), which of them are dense, and that length in bytes."""
+    some = [bytes(r.v) for r in classes.orderBy(F.xxhash64("v"), "v").limit(SAMPLED * pivots).collect()]
     if not some:
-        return np.zeros((0, 0)), 0
+        return np.zeros((0, 0)), np.zeros(0, bool), 0
     sizes = [len(v) for v in some]
     size = max(set(sizes), key=lambda n: (sizes.count(n), n))
-    return unit_rows([v for v in some if len(v) == size]), size
-
-
-def postings(classes: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
-    """rep, n, v, near (the nearest pivots, nearest first) and key: a row for each pair of them."""
+    x = unit_rows([v for v in some if len(v) == size])
+    chosen, dense, free = [], [], np.ones(len(x), bool)
+    while free.any() and len(chosen) < pivots:
+        chosen.append(int(free.argmax()))
+        free[chosen[-1]] = False
+        close = x @ x[chosen[-1]] >= HOME
+        close[chosen] = False
+        dense.append(bool(close.any()))
+        free &= ~close
+    more = np.random.default_rng(7).standard_normal((pivots - len(chosen), x.shape[1]))
+    more /= np.linalg.norm(more, axis=1, keepdims=True)
+    return np.concatenate([x[chosen], more]), np.array(dense + [False] * len(more)), size
+
+
+def postings(classes: DataFrame, pivots: np.ndarray, dense: np.ndarray, nearest: int, least: float) -> DataFrame:
+    """rep, n, v, home (a dense pivot, or -1), near (the nearest pivots, nearest first) and key.
+
+    A row for each pair of near if there is no home, and for each dense pivot (twice in the key) whose list the vector enters.
+    """
     m = min(nearest, len(pivots))
     i, j = np.triu_indices(m, 1)
+    centres = np.flatnonzero(dense)
+    # a link reaches no further than this from a vector at home
+    reach = np.cos(min(np.pi, np.arccos(HOME) + np.arccos(np.clip(least, -1, 1)))) - 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 2000):
                 part = batch.slice(k, 2000)
-                near = np.argsort(-(unit_rows(part.column(2).to_pylist()) @ pivots.T), axis=1, kind="stable")[:, :m].astype(np.int32)
-                a, b = near[:, i], near[:, j]
-                key = (np.minimum(a, b).astype(np.int64) << 32 | np.maximum(a, b)).ravel()
-                rows = part.take(pa.array(np.repeat(np.arange(len(part)), len(i))))
-                nears = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(key) + 1) * m, m, dtype=np.int32)), pa.array(np.repeat(near, len(i), axis=0).ravel()))
-                yield pa.RecordBatch.from_arrays([*rows.columns, nears, pa.array(key)], ["rep", "n", "v", "near", "key"])
-
-    return classes.select("rep", "n", "v").mapInArrow(run, "rep long, n long, v binary, near array<int>, key long")
+                cos = unit_rows(part.column(2).to_pylist()) @ pivots.T
+                near = np.argsort(-cos, axis=1, kind="stable")[:, :m].astype(np.int32)
+                home = np.full(len(part), -1, np.int32)
+                if len(centres):
+                    best = centres[cos[:, centres].argmax(axis=1)]
+                    home = np.where(cos[np.arange(len(part)), best] >= HOME, best, -1).astype(np.int32)
+                away = np.flatnonzero(home < 0)
+                a, b = near[away][:, i], near[away][:, j]
+                at, c = np.nonzero(cos[:, centres] >= reach)
+                c = centres[c].astype(np.int64)
+                at = np.concatenate([np.repeat(away, len(i)), at])
+                key = np.concatenate([(np.minimum(a, b).astype(np.int64) << 32 | np.maximum(a, b)).ravel(), c << 32 | c])
+                rows = part.take(pa.array(at))
+                nears = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(key) + 1) * m, m, dtype=np.int32)), pa.array(near[at].ravel()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(home[at]), nears, pa.array(key)], ["rep", "n", "v", "home", "near", "key"])
+
+    return classes.select("rep", "n", "v").mapInArrow(run, "rep long, n long, v binary, home int, near array<int>, key long")
 
 
 def matched(groups: DataFrame, least: float) -> DataFrame:
@@ -88,6 +123,7 @@ def matched(groups: DataFrame, least: float) -> DataFrame:
         for t in _groups(batches, 3):
             at, key = _bounds(t, 3), np.asarray(t.column("key"))
             side, rep, n = (np.asarray(t.column(c)) for c in ("side", "rep", "n"))
+            home = np.asarray(t.column("home"))
             near = np.array(t.column("near").to_pylist(), np.int32).reshape(len(t), -1)
             raw = t.column("v").to_pylist()
             got_i, got_j = [], []
@@ -103,8 +139,14 @@ def matched(groups: DataFrame, least: float) -> DataFrame:
                     i, j = i + k, j + mid
                     own = np.ones(len(i), bool) if cross else i < j
                     i, j = i[own], j[own]
-                    # the list of the two smallest shared pivots keeps the pair
                     low, high = key[s] >> 32, key[s] & 0xFFFFFFFF
+                    if low == high:  # the list of a home keeps the pair, the smaller one if there are two
+                        p, q = home[i], home[j]
+                        first = ((p == low) & ((q < 0) | (q >= low))) | ((q == low) & ((p < 0) | (p >= low)))
+                        got_i.append(i[first])
+                        got_j.append(j[first])
+                        continue
+                    # the list of the two smallest shared pivots keeps the pair
                     both = (near[i][:, :, None] == near[j][:, None, :]).any(axis=2) & (near[i] < high) & (near[i] != low)
                     first = ~both.any(axis=1)
                     got_i.append(i[first])
@@ -141,14 +183,14 @@ def embedding_duplicates(rows: DataFrame, least: float = 0.95, ids: str = "vec_i
     """vec_id, n_links, component_id, kept for every row."""
     all_rows = saved(vectors(rows, ids, embedding), "vectors")
     classes = saved(all_rows.where("v is not null and vec_id is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    pivot, size = sample_pivots(classes, pivots)
+    pivot, dense, size = sample_pivots(classes, pivots)
     found = None
-    if len(pivot) > 1:
-        post = saved(postings(classes.where(F.octet_length("v") == size), pivot, nearest), "postings")
+    if len(pivot):
+        post = saved(postings(classes.where(F.octet_length("v") == size), pivot, dense, nearest, least), "postings")
         lists = post.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        g = post.join(lists, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+        g = post.join(F.broadcast(lists), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
         g = g.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        g = g.select("key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), (F.col("own") > F.col("with")).cast("int").alias("side"), "rep", "n", "v", "near")
+        g = g.select("key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), (F.col("own") > F.col("with")).cast("int").alias("side"), "rep", "n", "v", "home", "near")
         g = g.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side", "rep")
         found = saved(matched(g, least), "links")
     if found is None:

@@ -303,6 +303,38 @@ def test_embeddings(spark):
     assert embedding_duplicates(d.limit(0)).count() == 0
 
 
+def link_recall(spark, planted):
+    """The share of all links that are found, in the vectors of sf0.1 and the planted ones; each vec_id has no link too many."""
+    d = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x = np.array([r.embedding for r in d.orderBy("vec_id").collect()], np.float32)
+    x = np.concatenate([x, planted(x, np.random.default_rng(11)).astype(np.float32)])
+    assert len(np.unique(x, axis=0)) == len(x)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    x = x.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert all(got[k] <= n for k, n in enumerate(near.sum(1)))
+    return sum(got.values()) / near.sum()
+
+
+def near_copies(x, cosines, rng):
+    """A copy of each row of x, at the given cosine with it."""
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    u = rng.standard_normal(x.shape)
+    u -= (u * x).sum(1)[:, None] * x
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    return cosines[:, None] * x + np.sqrt(1 - cosines**2)[:, None] * u
+
+
+@pytest.mark.parametrize("copies", [200, 1000, 2500])
+def test_embeddings_in_a_hot_group(spark, copies):
+    found = link_recall(spark, lambda x, rng: near_copies(np.repeat(x[:1], copies, axis=0), rng.uniform(0.97, 0.99, copies), rng))
+    print(f"recall in a group of {copies}: {found:.4f}")
+    assert found >= 0.99
+
+
 def test_toxicity(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
