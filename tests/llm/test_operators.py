@@ -335,6 +335,19 @@ def test_embeddings_in_a_hot_group(spark, copies):
     assert found >= 0.99
 
 
+def test_embeddings_recall(spark):
+    """Distinct copies at 0.95 to 0.99: pairs among thousands of other vectors, alone and beside a group of a third of the rows."""
+    def pairs(x, rng):
+        return near_copies(x[1:1001], rng.uniform(0.951, 0.99, 1000), rng)
+
+    def both(x, rng):
+        return np.concatenate([pairs(x, rng), near_copies(np.repeat(x[:1], 1500, axis=0), rng.uniform(0.95, 0.99, 1500), rng)])
+
+    alone, beside = link_recall(spark, pairs), link_recall(spark, both)
+    print(f"recall of pairs: {alone:.4f}, beside a group: {beside:.4f}")
+    assert alone >= 0.9 and beside >= 0.9
+
+
 def test_toxicity(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
