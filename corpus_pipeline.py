@@ -52,9 +52,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces (ids as little-endian uint32) with their places in sequences of 2048 tokens."""
-    pieces = saved(tokenized(docs, tokenizer_path("word_bpe_49k.json")), "pieces")
-    places = packed(pieces.select("doc_id", "piece", "start", "length"))
-    return places
+    pieces = tokenized(docs, tokenizer_path("word_bpe_49k.json"))
+    # doc_id and piece need not be unique; the number stays as it is once written
+    pieces = saved(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    places = packed(pieces.select("row", "doc_id", "piece", "start", "length"))
+    return places.join(pieces.select("row", "ids"), "row").select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -410,6 +410,54 @@ def test_pipeline(spark, sf):
     assert pieces.select("doc_id").distinct().count() == out.count() and out.count() > 0.7 * docs.count()
 
 
+def brute_redact(text):
+    """Overlapping spans are one, named by the first of them."""
+    out, spans = "", []
+    for kind, a, b in sorted(find_secrets(text), key=lambda s: s[1]):
+        if spans and a < spans[-1][2]:
+            spans[-1][2] = max(b, spans[-1][2])
+        else:
+            spans.append([kind, a, b])
+    at = 0
+    for kind, a, b in spans:
+        out += text[at:a] + f"[{kind}]"
+        at = b
+    return out + text[at:]
+
+
+def test_pipeline_against_brute_force(spark, sf, tmp_path):
+    """run(), ids included: toxicity's verdicts are its own, every later stage is done over in Python."""
+    import corpus_pipeline as P
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(WORDS)
+    line = "A line that stands in six documents and is long enough to count"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    first = docs.first()
+    more = [first.asDict() | {"doc_id": 10**6 + k, "text": t} for k, t in enumerate([first.text, first.text + " more", "x password=abcdef12 y", "word " * 5000, "", *(f"{line}\n{k} and its own words, number {k}" for k in range(6))])]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in P.toxicity(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()]
+    texts = {i: t for i, _, _, t in brute_lines(rows)}
+    sets = {}
+    for k, t in texts.items():
+        w = WORD.findall(t.translate(LOW))
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    kept = [k for k, c in brute_components(sets, 80).items() if k == c]
+    assert len(kept) < len(rows) == len(texts)
+    want = {k: np.array([*lib.encode(brute_redact(texts[k]), add_special_tokens=False).ids, 0], "<u4").tobytes() for k in kept}
+    got, used = collections.defaultdict(list), collections.defaultdict(list)
+    for r in P.run(spark, str(tmp_path)).collect():
+        assert len(r.ids) == 4 * r.length and r.start == 2048 * r.piece
+        got[r.doc_id].append((r.start, bytes(r.ids)))
+        used[r.sequence_id].append((r.offset, r.length))
+    assert {k: b"".join(x for _, x in sorted(v)) for k, v in got.items()} == want
+    for v in used.values():
+        v.sort()
+        assert v[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(v, v[1:])) and sum(v[-1]) <= 2048
+
+
 def test_sql_agrees(spark, sf):
     import duckdb
 
