@@ -37,12 +37,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
-    out = saved(near_duplicates(docs, shingle=5, percent=80), "kept").where("not kept").select("doc_id").distinct()
-    kept = docs.join(out, "doc_id", "left_anti")
-    # rows that repeat a doc_id are one group, too; rows without one stay
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null")).select(docs.columns)
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays, that with the smallest doc_id.
+
+    Each row is linked for itself, so rows that repeat a doc_id go only as copies of another row; rows without one stay.
+    """
+    rows = saved(docs.withColumn("__skein_row", F.monotonically_increasing_id()), "rows")
+    named = rows.where("doc_id is not null")
+    own = named.select(F.col("__skein_row").alias("doc_id"), "text")
+    groups = saved(near_duplicates(own, shingle=5, percent=80).select(F.col("doc_id").alias("__skein_row"), "component_id"), "groups")
+    kept = groups.join(named.select("__skein_row", "doc_id"), "__skein_row").groupBy("component_id").agg(F.min_by("__skein_row", F.struct("doc_id", "__skein_row")).alias("__skein_row"))
+    return named.join(kept, "__skein_row", "left_semi").unionByName(rows.where("doc_id is null")).select(docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

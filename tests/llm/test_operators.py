@@ -458,6 +458,16 @@ def test_pipeline_against_brute_force(spark, sf, tmp_path):
         assert v[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(v, v[1:])) and sum(v[-1]) <= 2048
 
 
+def test_pipeline_keeps_rows_that_share_a_doc_id(spark):
+    import corpus_pipeline as P
+
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(-1, words(k)) for k in range(30)] + [(-1, words(3)), (7, words(4) + " more"), (-5, words(5) + " more"), (8, words(50)), (None, words(6)), (9, ""), (9, words(51))]
+    out = [tuple(r) for r in P.minhash_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    want = [(-1, words(k)) for k in range(30) if k != 5] + [(-5, words(5) + " more"), (8, words(50)), (None, words(6)), (9, ""), (9, words(51))]
+    assert sorted(out, key=str) == sorted(want, key=str)
+
+
 def test_sql_agrees(spark, sf):
     import duckdb
 
