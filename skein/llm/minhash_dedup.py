@@ -1,8 +1,9 @@
 """MinHash near-dedup with odd sketches (operator 3).
 
 1. One Arrow pass over the texts hashes every word and shingle, takes 256 MinHash samples, folds
-   them into a 512-bit odd sketch (each sample flips one bit) and hashes 32 bands of 8 samples.
-   At a similarity of 0.85 a pair shares no band with a chance below 4e-5.
+   them into a 512-bit odd sketch (each sample flips one bit) and hashes bands of them, as long as
+   the threshold allows: at 0.85 32 bands of 8 samples, of which a pair at the threshold shares none
+   with a chance of 3.8e-5, at 0.80 42 bands of 6 with 2.9e-6.
 2. Equal shingle sets collapse into one representative, by a combinable aggregate.
 3. Band groups are dealt out by (band key, chunk), a chunk holding about CHUNK representatives, so
    that a hot band is spread over many tasks. In a chunk, sketches are XORed in blocks; the
@@ -29,8 +30,10 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from .common import Table, components, mix, saved, text_chunks, word_bytes_table, word_hashes
 
-SAMPLES, ROWS, BITS, CHUNK = 256, 8, 512, 1024
-#: Pairs whose estimate is lower are not confirmed: over four standard errors below 0.85.
+SAMPLES, BITS, CHUNK = 256, 512, 1024
+#: A pair at the threshold shares no band with a smaller chance than this.
+MISSED = 1e-4
+#: Pairs whose estimate is lower are not confirmed: over four standard errors below 0.85; at other thresholds as many (see slack).
 SLACK = 0.10
 #: The same for the finer sketches of what is left at last.
 FINE_SAMPLES, FINE_BITS, FINE_SLACK = 2048, 4096, 0.04
@@ -41,6 +44,23 @@ def _constants(samples: int) -> tuple[np.ndarray, np.ndarray]:
     return (mix(i) >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (mix(i + np.uint64(1 << 40)) >> np.uint64(32)).astype(np.uint32)
 
 
+def band_rows(percent: int, samples: int = SAMPLES) -> int:
+    """Samples in a band: the most with which a pair at percent is missed with a chance below MISSED (1 if none is enough)."""
+    return max((r for r in range(1, samples + 1) if (1 - (percent / 100) ** r) ** (samples // r) < MISSED), default=1)
+
+
+def standard_error(s: float, samples: int = SAMPLES, bits: int = BITS) -> float:
+    """Of the estimate at a similarity of s: the samples' and the sketch's, whose bits are flipped at random."""
+    flips = 2 * samples * (1 - s)
+    left = np.exp(-2 * flips / bits)
+    return float(np.sqrt(s * (1 - s) / samples + (bits / 4 * (1 - left**2) - flips * left**2) / (2 * samples * left) ** 2))
+
+
+def slack(percent: int, at_85: float) -> float:
+    """As many standard errors below percent as at_85 is below 0.85."""
+    return at_85 * standard_error(percent / 100) / standard_error(0.85)
+
+
 def shingle_sets(data: np.ndarray, ends: np.ndarray, size: int) -> Iterator[np.ndarray]:
     """For each text, the sorted distinct hashes of its shingles; a text of fewer words is one shingle."""
     inside, value = word_bytes_table()
@@ -86,7 +106,7 @@ def similarity(xor_bits: np.ndarray, samples: int = SAMPLES, bits: int = BITS) -
 FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, bands array<long>"
 
 
-def features(docs: DataFrame, shingle: int, samples: int = SAMPLES, rows: int = ROWS) -> DataFrame:
+def features(docs: DataFrame, shingle: int, rows: int, samples: int = SAMPLES) -> DataFrame:
     """doc_id, set size, 128-bit hash of the set, odd sketch and band hashes of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +124,7 @@ def features(docs: DataFrame, shingle: int, samples: int = SAMPLES, rows: int =
                     h[k] = np.add.reduce(mix(s)), np.bitwise_xor.reduce(mix(s * np.uint64(5) + np.uint64(7)))
                     m = min_samples(s, a, b)
                     sketches.append(odd_sketch(m).tobytes())
-                    keys = np.add.reduce(mix(m + spread).reshape(-1, rows), axis=1)
+                    keys = np.add.reduce(mix(m + spread)[: samples // rows * rows].reshape(-1, rows), axis=1)
                     bands.append(mix(keys).view(np.int64))
                 lengths = np.concatenate(([0], np.cumsum([len(x) for x in bands]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -251,8 +271,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Documents are linked whose sets of shingle-word shingles satisfy 100 * intersection >= percent *
     union; component_id is the smallest doc_id reachable by links, kept says that it is the row's own.
     """
-    least = percent / 100 - SLACK
-    part = saved(features(docs, shingle), "features")
+    least = percent / 100 - slack(percent, SLACK)
+    part = saved(features(docs, shingle, band_rows(percent)), "features")
     own = part.where("n_shingles > 0 and doc_id is not null")
     classes = saved(own.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = own.select("doc_id", "h1", "h2", "sketch", "bands").join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"]).dropDuplicates(["doc_id", "h1", "h2"]).select(F.col("doc_id").alias("rep"), "sketch", "bands")
@@ -281,7 +301,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         at = F.when(F.col("stranger"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
         g = g.withColumn("at", F.explode(at)).select("key", F.col("at").alias("chunk"), "rep", "sketch", "bands", "comp", "stranger", (F.col("at") == F.col("chunk")).alias("home"))
         if top is None:  # all that is left, by finer sketches; whatever has no text has no candidate
-            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "bands", "comp", "stranger", "home")), percent / 100 - FINE_SLACK, None, FINE_SAMPLES, FINE_BITS)
+            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "bands", "comp", "stranger", "home")), percent / 100 - slack(percent, FINE_SLACK), None, FINE_SAMPLES, FINE_BITS)
         else:
             found = across(dealt(g), least, top)
         new = saved(found.join(tried, ["a", "b"], "left_anti"), "pairs")

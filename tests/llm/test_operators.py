@@ -132,6 +132,23 @@ def test_minhash_components(spark, docs, size, percent):
     assert all(r.n_shingles == len(sets[k]) and r.kept == (want[k] == k) for k, r in got.items())
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 95])
+def test_minhash_settings_follow_the_threshold(spark, percent):
+    """A pair at the threshold shares a band but for a chance of 1e-4, and its estimate is over four standard errors inside the slack."""
+    from skein.llm import minhash_dedup as M
+
+    rows = M.band_rows(percent)
+    bands = len(M.features(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), 3, rows).first().bands)
+    assert bands * rows <= M.SAMPLES and (1 - (percent / 100) ** rows) ** bands < 1e-4
+    rng, s, est = np.random.default_rng(percent), percent / 100, []
+    a = rng.integers(0, 2**32, (1000, M.SAMPLES)).astype(np.uint32)
+    b = np.where(rng.random(a.shape) < s, a, rng.integers(0, 2**32, a.shape).astype(np.uint32))
+    for x, y in zip(a, b):
+        est.append(similarity(np.array([np.unpackbits(np.frombuffer(odd_sketch(x), np.uint8) ^ np.frombuffer(odd_sketch(y), np.uint8)).sum()]))[0])
+    assert 0.9 < np.std(est) / M.standard_error(s) < 1.15 and M.slack(percent, M.SLACK) > 4 * M.standard_error(s)
+    assert (rows, bands) == (8, 32) and M.slack(85, M.SLACK) == M.SLACK if percent == 85 else True
+
+
 def test_minhash_hot_bands(spark, monkeypatch):
     """Chunks far smaller than a group of near copies lose no link."""
     from skein.llm import minhash_dedup
