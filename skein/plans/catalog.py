@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import keyed, relational, schemas  # noqa: F401  they register their queries
+from . import keyed, relational, schemas, stores, values  # noqa: F401  they register their queries
 from .tables import QUERIES, SQL, Query
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skein.functions.encodings import base64url, crc16, hex_of, ipv4_number, ipv4_text
+from skein.functions.encodings import base64url, hex_of, ipv4_number, ipv4_text
 from skein.operators import changes, keyvalue as kv, search
 from skein.streaming.messages import deduplicated, read_available, subject_pattern
 
@@ -27,14 +27,22 @@ def kv_mset_lww(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kv.upsert(_store(spark, sf_dir), writes, "o_orderkey")
 
 
-@query("SELECT c_custkey AS key, c_name AS value FROM customer UNION ALL SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer)")
+def _writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes of which some hit one key twice; orders tell which came first."""
+    return table(spark, sf_dir, "part").select((F.col("p_partkey") - F.col("p_partkey") % 2).alias("key"), F.col("p_name").alias("value"), F.col("p_partkey").alias("at"))
+
+
+_WRITES = "SELECT p_partkey - p_partkey % 2 AS key, p_name AS value, p_partkey AS place FROM part"
+
+
+@query(f"SELECT c_custkey AS key, c_name AS value FROM customer UNION ALL SELECT key, arg_min(value, place) FROM ({_WRITES}) WHERE key NOT IN (SELECT c_custkey FROM customer) GROUP BY key")
 def kv_setnx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kv.set_if_absent(_store(spark, sf_dir), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_name").alias("value")))
+    return kv.set_if_absent(_store(spark, sf_dir), _writes(spark, sf_dir), "at")
 
 
-@query("SELECT c_custkey AS key, coalesce(p_name, c_name) AS value FROM customer LEFT JOIN part ON p_partkey = c_custkey")
+@query(f"SELECT c_custkey AS key, coalesce(last, c_name) AS value FROM customer LEFT JOIN (SELECT key, arg_max(value, place) AS last FROM ({_WRITES}) GROUP BY key) ON key = c_custkey")
 def kv_setxx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kv.set_if_present(_store(spark, sf_dir), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_name").alias("value")))
+    return kv.set_if_present(_store(spark, sf_dir), _writes(spark, sf_dir), "at")
 
 
 @query("SELECT c_custkey AS key FROM customer WHERE c_acctbal < 0 OR c_acctbal > 1000")
@@ -65,9 +73,11 @@ def kv_incrby(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sum(delta).alias("counter"))
 
 
-@query("SELECT c_custkey AS key, substr(c_name, 3, 4) AS part, length(c_name) AS n FROM customer")
+@query("SELECT c_custkey AS key, substr(c_name, 3, 4) AS part, right(c_name, 3) AS tail, left(c_name, length(c_name) - 2) AS head, '' AS none, length(c_name) AS n FROM customer")
 def kv_getrange(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _store(spark, sf_dir).select("key", kv.substring_of(F.col("value"), 2, 5).alias("part"), F.length("value").cast("long").alias("n"))
+    v = F.col("value")
+    parts = {"part": (2, 5), "tail": (-3, -1), "head": (0, -3), "none": (5, 2)}
+    return _store(spark, sf_dir).select("key", *(kv.substring_of(v, *r).alias(k) for k, r in parts.items()), F.length(v).cast("long").alias("n"))
 
 
 _OLD = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 11 <> 3"
@@ -129,14 +139,10 @@ def date_day_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("day"))
 
 
-@query("SELECT o_orderkey, CAST(o_orderkey * 65537 % 4294967296 AS BIGINT) AS back FROM orders")
+@query("SELECT o_orderkey, (n >> 24) || '.' || ((n >> 16) & 255) || '.' || ((n >> 8) & 255) || '.' || (n & 255) AS text, n AS back FROM (SELECT o_orderkey, CAST(o_orderkey * 65537 % 4294967296 AS BIGINT) AS n FROM orders)")
 def ipv4_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", ipv4_number(ipv4_text(F.col("o_orderkey") * 65537 % 4294967296)).alias("back"))
-
-
-@query()
-def crc16_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", crc16(F.encode("c_name", "UTF-8")).alias("slot"))
+    text = ipv4_text(F.col("o_orderkey") * 65537 % 4294967296)
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"), ipv4_number(text).alias("back"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -155,6 +161,6 @@ def stream_subject_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_available(spark, _messages(spark, sf_dir).where(subject_pattern(F.col("subject"), "events.click.*")).select("event_id"))
 
 
-@query("SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL")
+@query("SELECT user_id, 1 AS n FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_available(spark, deduplicated(_messages(spark, sf_dir), "user_id", "at", "60 days").select("user_id"))
+    return read_available(spark, deduplicated(_messages(spark, sf_dir), "user_id", "at", "60 days").select("user_id")).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

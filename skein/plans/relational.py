@@ -91,9 +91,9 @@ def array_string_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("a")).select("l_orderkey", F.size("a").cast("long").alias("n"), F.array_join(F.transform("a", lambda x: x.cast("string")), ",").alias("listed"))
 
 
-@query("SELECT n_nationkey, n_name AS looked_up FROM nation")
+@query("SELECT n_nationkey, n_name AS looked_up, 2 AS n, 'key,name' AS keys FROM nation")
 def map_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select("n_nationkey", F.create_map(F.lit("name"), F.col("n_name"), F.lit("key"), F.col("n_nationkey").cast("string")).alias("m")).select("n_nationkey", F.col("m")["name"].alias("looked_up"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.create_map(F.lit("name"), F.col("n_name"), F.lit("key"), F.col("n_nationkey").cast("string")).alias("m")).select("n_nationkey", F.col("m")["name"].alias("looked_up"), F.size("m").alias("n"), F.array_join(F.array_sort(F.map_keys("m")), ",").alias("keys"))
 
 
 @query("SELECT o_orderkey, factor FROM orders JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 3)) AS r(priority, factor) ON o_orderpriority = priority")
@@ -118,8 +118,9 @@ def agg_counts_and_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_linestatus, count(*) AS n FROM lineitem GROUP BY l_linestatus")
 def agg_totals_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("skein_items")
-    return spark.sql("SELECT l_linestatus, n FROM (SELECT l_linestatus, count(*) AS n, grouping_id() AS g FROM skein_items GROUP BY GROUPING SETS ((l_linestatus), ())) WHERE g = 0")
+    items = table(spark, sf_dir, "lineitem")
+    both = items.groupingSets([[items.l_linestatus], []], items.l_linestatus).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))
+    return both.where("g = 0").select("l_linestatus", "n")
 
 
 @query("SELECT n_regionkey, CAST(product(n_nationkey + 1) AS BIGINT) AS p, string_agg(n_name, ';' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey")
