@@ -1,22 +1,107 @@
 """JSON Schema (Draft 2020-12) as column expressions: a schema becomes one boolean Column over VARIANT.
 
 Catalyst sees plain built-in functions, so a check runs inside the scan's stage without Python. Covered:
-boolean schemas, type, enum, const, the numeric, string, array and object assertions, the applicators
-(allOf, anyOf, oneOf, not, if/then/else, properties, patternProperties, additionalProperties,
-propertyNames, items, prefixItems, contains, dependentRequired, dependentSchemas) and $ref within the
-document (#, #/...), as long as it doesn't recur. Other references, recursion and unevaluated* raise
-ValueError; format and other annotations assert nothing. Numbers are compared in double precision.
+boolean schemas, all assertions and applicators, unevaluatedProperties and unevaluatedItems, references by
+pointer, $anchor and $id (in the document or in resources given with it), and format where it is to assert.
+$dynamicRef is followed where only one $dynamicAnchor has its name. A reference that recurs raises ValueError,
+as an expression has no end of its own. Integers of up to 38 digits and decimals that fit 38 digits, 18 of them
+behind the point, are compared exactly, other numbers in double precision. Patterns are translated from ECMA's dialect.
 Text that isn't JSON, null text and objects that repeat a key are invalid under every schema but none raises.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
+from dataclasses import dataclass, field
+from decimal import Context, Decimal
+from urllib.parse import unquote, urldefrag, urljoin
 
 from pyspark.sql import Column, functions as F
 
 NUMBERS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
+EXACT = ("BIGINT", "DECIMAL")
+_WIDE = Context(prec=100)
+#: Long names of Unicode categories, and Java's short ones.
+CATEGORIES = {
+    "Letter": "L", "Lowercase_Letter": "Ll", "Uppercase_Letter": "Lu", "Titlecase_Letter": "Lt", "Modifier_Letter": "Lm", "Other_Letter": "Lo", "Mark": "M", "Number": "N", "digit": "Nd",
+    "Decimal_Number": "Nd", "Letter_Number": "Nl", "Other_Number": "No", "Punctuation": "P", "punct": "P", "Symbol": "S", "Separator": "Z", "Space_Separator": "Zs", "Other": "C", "Control": "Cc",
+}
+_SPACES = r"\s\u00a0\ufeff\u2028\u2029\p{Zs}"
+
+
+def ecma(pattern: str) -> str:
+    """A pattern of ECMA's dialect in Java's; one that can't be read raises ValueError."""
+    out, i, inside = "", 0, False
+    while i < len(pattern):
+        c, two = pattern[i], pattern[i : i + 2]
+        if c == "\\":
+            if m := re.match(r"\\(p|P)\{(?:(?:General_Category|gc)=)?(\w+)\}", pattern[i:]):
+                out += f"\\{m[1]}{{{CATEGORIES.get(m[2], m[2])}}}"
+                i += len(m[0])
+                continue
+            if m := re.match(r"\\(p|P)\{(?:Script|sc|Script_Extensions|scx)=(\w+)\}", pattern[i:]):
+                out += f"\\{m[1]}{{Is{m[2]}}}"
+                i += len(m[0])
+                continue
+            if m := re.match(r"\\u\{([0-9A-Fa-f]+)\}", pattern[i:]):
+                out += f"\\x{{{m[1]}}}"
+                i += len(m[0])
+                continue
+            if len(two) < 2:
+                raise ValueError(f"pattern ends in a backslash: {pattern}")
+            if two == "\\s":
+                out += _SPACES if inside else f"[{_SPACES}]"
+            elif two == "\\S" and not inside:
+                out += f"[^{_SPACES}]"
+            elif two[1].isalnum():
+                out += two
+            else:
+                out += re.escape(two[1])
+            i += 2
+            continue
+        if inside:
+            inside = c != "]"
+            out += "\\" + c if c in "[&" else c
+        elif c == "[":
+            if pattern[i : i + 3] == "[^]":
+                out += r"[\s\S]"
+                i += 3
+                continue
+            if two == "[]":
+                out += "(?!)"
+                i += 2
+                continue
+            inside = True
+            out += "["
+            if pattern[i + 1 : i + 2] == "^":
+                out += "^"
+                i += 1
+        else:
+            out += r"\z" if c == "$" else c
+        i += 1
+    if inside:
+        raise ValueError(f"class without an end: {pattern}")
+    return out
+
+
+#: Rules of formats where they assert; deliberately coarse. Other names assert nothing.
+FORMATS: dict[str, Callable[[Column], Column]] = {
+    "date": lambda t: t.rlike(r"\A[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])\z"),
+    "time": lambda t: t.rlike(r"\A(?:[01][0-9]|2[0-3]):[0-5][0-9]:(?:[0-5][0-9]|60)"),
+    "date-time": lambda t: t.rlike(r"\A[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])[Tt](?:[01][0-9]|2[0-3]):[0-5][0-9]:(?:[0-5][0-9]|60)"),
+    "duration": lambda t: t.rlike(r"\AP[0-9YMWDTHS]+\z"),
+    "email": lambda t: t.rlike(r"\A[^@]+@[^@]*\.[^@]*[^@.]\z"),
+    "hostname": lambda t: t.rlike(r"\A[A-Za-z0-9.-]{1,253}\z"),
+    "ipv4": lambda t: t.rlike(r"\A(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])(?:\.(?!\z)|\z)){4}\z"),
+    "ipv6": lambda t: t.rlike(r"\A[0-9A-Fa-f:.]{2,45}\z"),
+    "uri": lambda t: t.rlike(r"\A[A-Za-z][^:]*:"),
+    "uri-reference": lambda t: ~t.contains(" "),
+    "uuid": lambda t: t.rlike(r"\A[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\z"),
+    "json-pointer": lambda t: t.rlike(r"\A(?:/(?:[^~]|~[01])*)?\z"),
+    "relative-json-pointer": lambda t: t.rlike(r"\A[0-9]"),
+}
 
 
 def _kind(v: Column) -> Column:
@@ -46,11 +131,38 @@ def _sure(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def _exact(x: object) -> Decimal:
+    return x if isinstance(x, Decimal) else Decimal(repr(x) if isinstance(x, float) else x)
+
+
+def _decimal(x: Decimal, scale: int) -> Column | None:
+    """x as a literal of 38 digits, if it is one."""
+    q = x.quantize(Decimal(1).scaleb(-scale), context=_WIDE) if abs(x) < Decimal(10) ** (38 - scale) and abs(x.as_tuple().exponent) < 60 else None
+    return F.lit(f"{q:f}").cast(f"decimal(38,{scale})") if q is not None and q == x else None
+
+
+def _number(v: Column, kind: Column, x: object, test: Callable[[Column, Column], Column]) -> Column:
+    """test of a number against a literal: exact where both have an exact form, else in double precision."""
+    x = _exact(x)
+    forms = [F.when(kind.isin(*EXACT), test(_as(v, f"decimal(38,{s})"), lit)) for s in (18, 0) if (lit := _decimal(x, s)) is not None]
+    return _sure(F.coalesce(*forms, test(_as(v, "double"), F.lit(float(x)))))
+
+
+def _multiple(v: Column, kind: Column, x: object) -> Column:
+    x = _exact(x)
+    if x == 0:
+        return F.lit(False)
+    number = _as(v, "double")
+    forms = [F.when(kind.isin(*EXACT), _as(v, f"decimal(38,{s})") % lit == 0) for s in (18, 0) if (lit := _decimal(x, s)) is not None]
+    quotient = number / F.lit(float(x))
+    return _sure(F.coalesce(*forms, F.when(F.abs(quotient) == F.lit(float("inf")), number % F.lit(float(x)) == 0).otherwise(quotient == F.rint(quotient))))
+
+
 def _type(kind: Column, v: Column, name: str) -> Column:
     if name == "number":
         return kind.isin(*NUMBERS)
     if name == "integer":
-        return (kind == "BIGINT") | kind.isin(*NUMBERS[1:]) & _sure(_as(v, "double") == F.floor(_as(v, "double")))
+        return (kind == "BIGINT") | kind.isin(*NUMBERS[1:]) & _sure(F.coalesce(F.when(kind == "DECIMAL", _as(v, "decimal(38,18)") % 1 == 0), _as(v, "double") == F.rint(_as(v, "double"))))
     return kind == {"object": "OBJECT", "array": "ARRAY", "string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}[name]
 
 
@@ -60,8 +172,8 @@ def _equal(v: Column, kind: Column, value: object) -> Column:
         return kind == "VOID"
     if isinstance(value, bool):
         return (kind == "BOOLEAN") & _sure(_as(v, "boolean") == F.lit(value))
-    if isinstance(value, (int, float)):
-        return kind.isin(*NUMBERS) & _sure(_as(v, "double") == F.lit(float(value)))
+    if isinstance(value, (int, float, Decimal)):
+        return kind.isin(*NUMBERS) & _number(v, kind, value, lambda a, b: a == b)
     if isinstance(value, str):
         return (kind == "STRING") & _sure(_as(v, "string") == F.lit(value))
     if isinstance(value, list):
@@ -75,114 +187,309 @@ def _member(m: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(m, F.lit(name)), F.parse_json(F.lit("null")))
 
 
-def _resolved(root: object, ref: str) -> object:
-    if ref != "#" and not ref.startswith("#/"):
-        raise ValueError(f"reference outside the document: {ref}")
-    at = root
-    for step in ref.split("/")[1:]:
-        step = step.replace("~1", "/").replace("~0", "~")
-        at = at[int(step)] if isinstance(at, list) else at[step]
-    return at
-
-
-def _compiled(v: Column, schema: object, root: object, seen: tuple[str, ...]) -> Column:
-    if isinstance(schema, bool):
-        return F.lit(schema)
-    kind, asserts = _kind(v), []
-
-    def sub(value: Column, part: object, through: tuple[str, ...] = ()) -> Column:
-        return _sure(_compiled(value, part, root, seen + through))
-
-    def on(of: tuple[str, ...], check: Column) -> None:
-        asserts.append(F.when(kind.isin(*of), _sure(check)).otherwise(F.lit(True)))
-
-    if any(k.startswith("unevaluated") or k == "$dynamicRef" for k in schema):
-        raise ValueError("unevaluated* and $dynamicRef are not supported")
-    if (ref := schema.get("$ref")) is not None:
-        if ref in seen:
-            raise ValueError(f"recursive reference: {ref}")
-        asserts.append(sub(v, _resolved(root, ref), (ref,)))
-    if "type" in schema:
-        names = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        asserts.append(_count([_type(kind, v, n) for n in names]) > 0)
-    if "const" in schema:
-        asserts.append(_equal(v, kind, schema["const"]))
-    if "enum" in schema:
-        asserts.append(_count([_equal(v, kind, x) for x in schema["enum"]]) > 0)
-
-    number, text = _as(v, "double"), _as(v, "string")
-    numeric: dict[str, Callable[[float], Column]] = {
-        "minimum": lambda x: number >= x, "maximum": lambda x: number <= x, "exclusiveMinimum": lambda x: number > x, "exclusiveMaximum": lambda x: number < x,
-        "multipleOf": lambda x: (number / x) == F.rint(number / x),
-    }
-    for k in numeric.keys() & schema.keys():
-        on(NUMBERS, numeric[k](float(schema[k])))
-    if "minLength" in schema:
-        on(("STRING",), F.length(text) >= int(schema["minLength"]))
-    if "maxLength" in schema:
-        on(("STRING",), F.length(text) <= int(schema["maxLength"]))
-    if "pattern" in schema:
-        on(("STRING",), text.rlike(schema["pattern"]))
-
-    for part in schema.get("allOf", []):
-        asserts.append(sub(v, part))
-    if "anyOf" in schema:
-        asserts.append(_count([sub(v, p) for p in schema["anyOf"]]) > 0)
-    if "oneOf" in schema:
-        asserts.append(_count([sub(v, p) for p in schema["oneOf"]]) == 1)
-    if "not" in schema:
-        asserts.append(~sub(v, schema["not"]))
-    if "if" in schema:
-        asserts.append(F.when(sub(v, schema["if"]), sub(v, schema.get("then", True))).otherwise(sub(v, schema.get("else", True))))
-
-    items, first = _as(v, "array<variant>"), schema.get("prefixItems", [])
-    for i, part in enumerate(first):
-        on(("ARRAY",), (F.size(items) <= i) | sub(F.get(items, F.lit(i)), part))
-    if "items" in schema:
-        on(("ARRAY",), F.forall(F.slice(items, len(first) + 1, F.greatest(F.size(items), F.lit(1))), lambda x: sub(x, schema["items"])))
-    if "minItems" in schema:
-        on(("ARRAY",), F.size(items) >= int(schema["minItems"]))
-    if "maxItems" in schema:
-        on(("ARRAY",), F.size(items) <= int(schema["maxItems"]))
-    if schema.get("uniqueItems"):
-        on(("ARRAY",), F.size(F.array_distinct(F.transform(items, lambda x: F.to_json(x)))) == F.size(items))
-    if "contains" in schema:
-        n = F.size(F.filter(items, lambda x: sub(x, schema["contains"])))
-        on(("ARRAY",), (n >= int(schema.get("minContains", 1))) & (n <= int(schema.get("maxContains", 2**31 - 1))))
-
-    members = _as(v, "map<string,variant>")
-
-    def has(name: str) -> Column:
-        return _sure(F.map_contains_key(members, F.lit(name)))
-
-    for name in schema.get("required", []):
-        on(("OBJECT",), has(name))
-    if "minProperties" in schema:
-        on(("OBJECT",), F.size(members) >= int(schema["minProperties"]))
-    if "maxProperties" in schema:
-        on(("OBJECT",), F.size(members) <= int(schema["maxProperties"]))
-    for name, part in schema.get("properties", {}).items():
-        on(("OBJECT",), ~has(name) | sub(_member(members, name), part))
-    for name, needed in schema.get("dependentRequired", {}).items():
-        on(("OBJECT",), ~has(name) | _all([has(n) for n in needed]))
-    for name, part in schema.get("dependentSchemas", {}).items():
-        on(("OBJECT",), ~has(name) | sub(v, part))
-    if "propertyNames" in schema:
-        on(("OBJECT",), F.forall(F.map_keys(members), lambda k: sub(k.cast("variant"), schema["propertyNames"])))
-    patterns = schema.get("patternProperties", {})
-    for pattern, part in patterns.items():
-        on(("OBJECT",), F.forall(F.map_entries(members), lambda e: ~e["key"].rlike(pattern) | sub(e["value"], part)))  # noqa: B023  called at once
-    if "additionalProperties" in schema:
-
-        def named(key: Column) -> Column:
-            return _count([key == F.lit(n) for n in schema.get("properties", {})] + [key.rlike(p) for p in patterns]) > 0
-
-        on(("OBJECT",), F.forall(F.map_entries(members), lambda e: named(e["key"]) | sub(e["value"], schema["additionalProperties"])))
-    return _all(asserts)
-
-
-def conforms(text: Column, schema: object) -> Column:
-    """Whether the JSON in text is valid under the schema (a dict, a bool, or its JSON)."""
-    schema = json.loads(schema) if isinstance(schema, str) else schema
+#: Keywords that hold a schema, a list of them, or a map of them.
+_ONE = ("not", "if", "then", "else", "items", "contains", "additionalProperties", "propertyNames", "unevaluatedItems", "unevaluatedProperties")
+_MANY, _NAMED = ("allOf", "anyOf", "oneOf", "prefixItems"), ("properties", "patternProperties", "dependentSchemas", "$defs")
+VOCABULARIES = {f"https://json-schema.org/draft/2020-12/vocab/{n}" for n in ("core", "applicator", "unevaluated", "validation", "meta-data", "format-annotation", "content")}
+
+
+@dataclass
+class _Document:
+    """A schema with the places of all its resources and anchors."""
+
+    root: object
+    resources: dict[str, object]
+    formats: bool
+    at: dict[str, object] = field(default_factory=dict)
+    base: dict[int, str] = field(default_factory=dict)
+    dynamic: dict[str, list[object]] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        for uri, schema in {"": self.root, **self.resources}.items():
+            self.at[uri] = schema
+            self._walk(schema, uri)
+
+    def _walk(self, schema: object, base: str) -> None:
+        if not isinstance(schema, dict):
+            return
+        if "$id" in schema:
+            base = urldefrag(urljoin(base, schema["$id"]))[0]
+            self.at[base] = schema
+        self.base[id(schema)] = base
+        for k in ("$anchor", "$dynamicAnchor"):
+            if k in schema:
+                self.at[f"{base}#{schema[k]}"] = schema
+                if k == "$dynamicAnchor":
+                    self.dynamic.setdefault(schema[k], []).append(schema)
+        if unknown := [u for u, needed in schema.get("$vocabulary", {}).items() if needed and u not in VOCABULARIES]:
+            raise ValueError(f"unknown vocabulary: {unknown}")
+        for k in _ONE:
+            self._walk(schema.get(k), base)
+        for k in _MANY:
+            for x in schema.get(k, []):
+                self._walk(x, base)
+        for k in _NAMED:
+            for x in schema.get(k, {}).values():
+                self._walk(x, base)
+
+    def resolved(self, schema: dict, ref: str) -> object:
+        base, part = urldefrag(urljoin(self.base.get(id(schema), ""), ref))
+        if part and not part.startswith("/"):
+            if f"{base}#{unquote(part)}" not in self.at:
+                raise ValueError(f"no such anchor: {ref}")
+            return self.at[f"{base}#{unquote(part)}"]
+        if base not in self.at:
+            raise ValueError(f"reference outside the documents: {ref}")
+        at = self.at[base]
+        for step in unquote(part).split("/")[1:]:
+            step = step.replace("~1", "/").replace("~0", "~")
+            try:
+                at = at[int(step)] if isinstance(at, list) else at[step]
+            except (KeyError, IndexError, ValueError, TypeError):
+                raise ValueError(f"no such place: {ref}") from None
+        if isinstance(at, dict) and id(at) not in self.base:
+            self._walk(at, base)
+        return at
+
+
+#: keyword location, instance location, keyword, whether it holds
+Located = tuple[str, str, str, Column]
+
+
+@dataclass
+class _Compiler:
+    document: _Document
+
+    def holds(self, v: Column, schema: object, seen: tuple[int, ...] = ()) -> Column:
+        return _sure(_all([ok for *_, ok in self.located(v, schema, seen, "", "")]))
+
+    def references(self, schema: dict) -> list[tuple[str, object]]:
+        out = []
+        if (ref := schema.get("$ref")) is not None:
+            out.append(("$ref", self.document.resolved(schema, ref)))
+        if (ref := schema.get("$dynamicRef")) is not None:
+            target = self.document.resolved(schema, ref)
+            name = ref.rpartition("#")[2]
+            if isinstance(target, dict) and target.get("$dynamicAnchor") == name and len(self.document.dynamic.get(name, [])) > 1:
+                raise ValueError(f"several dynamic anchors: {ref}")
+            out.append(("$dynamicRef", target))
+        return out
+
+    def located(self, v: Column, schema: object, seen: tuple[int, ...], where: str, place: str) -> list[Located]:
+        """Every assertion, those of properties, allOf and references each for themselves."""
+        if isinstance(schema, bool):
+            return [(where, place, "false", F.lit(schema))] if not schema else []
+        if id(schema) in seen:
+            raise ValueError(f"a reference recurs at {where or '#'}")
+        seen = (*seen, id(schema))
+        kind, out = _kind(v), []
+
+        def sub(value: Column, part: object) -> Column:
+            return self.holds(value, part, seen)
+
+        def add(keyword: str, check: Column) -> None:
+            out.append((f"{where}/{keyword}", place, keyword, check))
+
+        def on(of: tuple[str, ...], keyword: str, check: Column) -> None:
+            add(keyword, F.when(kind.isin(*of), _sure(check)).otherwise(F.lit(True)))
+
+        for keyword, target in self.references(schema):
+            out += self.located(v, target, seen, f"{where}/{keyword}", place)
+        if "type" in schema:
+            names = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+            add("type", _count([_type(kind, v, n) for n in names]) > 0)
+        if "const" in schema:
+            add("const", _equal(v, kind, schema["const"]))
+        if "enum" in schema:
+            add("enum", _count([_equal(v, kind, x) for x in schema["enum"]]) > 0)
+
+        compare: dict[str, Callable[[Column, Column], Column]] = {"minimum": lambda a, b: a >= b, "maximum": lambda a, b: a <= b, "exclusiveMinimum": lambda a, b: a > b, "exclusiveMaximum": lambda a, b: a < b}
+        for k, test in compare.items():
+            if k in schema:
+                on(NUMBERS, k, _number(v, kind, schema[k], test))
+        if "multipleOf" in schema:
+            on(NUMBERS, "multipleOf", _multiple(v, kind, schema["multipleOf"]))
+        text = _as(v, "string")
+        if "minLength" in schema:
+            on(("STRING",), "minLength", F.length(text) >= int(schema["minLength"]))
+        if "maxLength" in schema:
+            on(("STRING",), "maxLength", F.length(text) <= int(schema["maxLength"]))
+        if "pattern" in schema:
+            on(("STRING",), "pattern", text.rlike(ecma(schema["pattern"])))
+        if self.document.formats and schema.get("format") in FORMATS:
+            on(("STRING",), "format", FORMATS[schema["format"]](text))
+
+        for i, part in enumerate(schema.get("allOf", [])):
+            out += self.located(v, part, seen, f"{where}/allOf/{i}", place)
+        if "anyOf" in schema:
+            add("anyOf", _count([sub(v, p) for p in schema["anyOf"]]) > 0)
+        if "oneOf" in schema:
+            add("oneOf", _count([sub(v, p) for p in schema["oneOf"]]) == 1)
+        if "not" in schema:
+            add("not", ~sub(v, schema["not"]))
+        if "if" in schema:
+            add("if", F.when(sub(v, schema["if"]), sub(v, schema.get("then", True))).otherwise(sub(v, schema.get("else", True))))
+
+        items, first = _as(v, "array<variant>"), schema.get("prefixItems", [])
+        for i, part in enumerate(first):
+            on(("ARRAY",), f"prefixItems/{i}", (F.size(items) <= i) | sub(F.get(items, F.lit(i)), part))
+        if "items" in schema:
+            on(("ARRAY",), "items", F.forall(F.slice(items, len(first) + 1, F.greatest(F.size(items), F.lit(1))), lambda x: sub(x, schema["items"])))
+        if "minItems" in schema:
+            on(("ARRAY",), "minItems", F.size(items) >= int(schema["minItems"]))
+        if "maxItems" in schema:
+            on(("ARRAY",), "maxItems", F.size(items) <= int(schema["maxItems"]))
+        if schema.get("uniqueItems"):
+            on(("ARRAY",), "uniqueItems", F.size(F.array_distinct(F.transform(items, lambda x: F.to_json(x)))) == F.size(items))
+        if "contains" in schema:
+            n = F.size(F.filter(items, lambda x: sub(x, schema["contains"])))
+            on(("ARRAY",), "contains", n >= int(schema.get("minContains", 1)))
+            if "maxContains" in schema:
+                on(("ARRAY",), "maxContains", n <= int(schema["maxContains"]))
+        if "unevaluatedItems" in schema:
+            done = self.evaluated(v, {k: x for k, x in schema.items() if k != "unevaluatedItems"}, "ARRAY", schema)
+            rest = F.filter(items, lambda x, i: ~F.array_contains(done, i))
+            on(("ARRAY",), "unevaluatedItems", F.forall(rest, lambda x: sub(x, schema["unevaluatedItems"])))
+
+        members = _as(v, "map<string,variant>")
+
+        def has(name: str) -> Column:
+            return _sure(F.map_contains_key(members, F.lit(name)))
+
+        for name in schema.get("required", []):
+            on(("OBJECT",), "required", has(name))
+        if "minProperties" in schema:
+            on(("OBJECT",), "minProperties", F.size(members) >= int(schema["minProperties"]))
+        if "maxProperties" in schema:
+            on(("OBJECT",), "maxProperties", F.size(members) <= int(schema["maxProperties"]))
+        for name, part in schema.get("properties", {}).items():
+            for w, p, k, ok in self.located(_member(members, name), part, seen, f"{where}/properties/{name}", f"{place}/{name}"):
+                out.append((w, p, k, F.when(kind == "OBJECT", ~has(name) | _sure(ok)).otherwise(F.lit(True))))
+        for name, needed in schema.get("dependentRequired", {}).items():
+            on(("OBJECT",), "dependentRequired", ~has(name) | _all([has(n) for n in needed]))
+        for name, part in schema.get("dependentSchemas", {}).items():
+            on(("OBJECT",), f"dependentSchemas/{name}", ~has(name) | sub(v, part))
+        if "propertyNames" in schema:
+            on(("OBJECT",), "propertyNames", F.forall(F.map_keys(members), lambda k: sub(k.cast("variant"), schema["propertyNames"])))
+        patterns = {ecma(k): x for k, x in schema.get("patternProperties", {}).items()}
+        for pattern, part in patterns.items():
+            on(("OBJECT",), "patternProperties", F.forall(F.map_entries(members), lambda e: ~e["key"].rlike(pattern) | sub(e["value"], part)))  # noqa: B023  called at once
+        if "additionalProperties" in schema:
+
+            def named(key: Column) -> Column:
+                return _count([key == F.lit(n) for n in schema.get("properties", {})] + [key.rlike(p) for p in patterns]) > 0
+
+            on(("OBJECT",), "additionalProperties", F.forall(F.map_entries(members), lambda e: named(e["key"]) | sub(e["value"], schema["additionalProperties"])))
+        if "unevaluatedProperties" in schema:
+            done = self.evaluated(v, {k: x for k, x in schema.items() if k != "unevaluatedProperties"}, "OBJECT", schema)
+            on(("OBJECT",), "unevaluatedProperties", F.forall(F.map_entries(members), lambda e: F.array_contains(done, e["key"]) | sub(e["value"], schema["unevaluatedProperties"])))
+        return out
+
+    def evaluated(self, v: Column, schema: object, kind: str, source: dict | None = None) -> Column:
+        """The names (OBJECT) or places (ARRAY) of v that a schema, where it holds, has evaluated."""
+        none = F.array().cast("array<string>" if kind == "OBJECT" else "array<int>")
+        if isinstance(schema, bool):
+            return none
+        parts = [none]
+
+        def within(part: object) -> Column:
+            return self.evaluated(v, part, kind)
+
+        for _, target in self.references(source or schema):
+            parts.append(within(target))
+        parts += [within(p) for p in schema.get("allOf", [])]
+        for k in ("anyOf", "oneOf"):
+            parts += [F.when(self.holds(v, p), within(p)).otherwise(none) for p in schema.get(k, [])]
+        if "if" in schema:
+            parts.append(F.when(self.holds(v, schema["if"]), F.concat(within(schema["if"]), within(schema.get("then", True)))).otherwise(within(schema.get("else", True))))
+        if kind == "OBJECT":
+            members = _as(v, "map<string,variant>")
+            keys = F.coalesce(F.map_keys(members), none)
+            if "additionalProperties" in schema or "unevaluatedProperties" in schema:
+                parts.append(keys)
+            if schema.get("properties"):
+                parts.append(F.array(*map(F.lit, schema["properties"])))
+            parts += [F.filter(keys, lambda k: k.rlike(ecma(p))) for p in schema.get("patternProperties", {})]  # noqa: B023
+            parts += [F.when(_sure(F.map_contains_key(members, F.lit(n))), within(p)).otherwise(none) for n, p in schema.get("dependentSchemas", {}).items()]
+        else:
+            items = F.coalesce(_as(v, "array<variant>"), F.array().cast("array<variant>"))
+            places = F.transform(items, lambda x, i: i)
+            if "items" in schema or "unevaluatedItems" in schema:
+                parts.append(places)
+            if schema.get("prefixItems"):
+                parts.append(F.filter(places, lambda i: i < len(schema["prefixItems"])))
+            if "contains" in schema:
+                parts.append(F.filter(places, lambda i: self.holds(F.get(items, i), schema["contains"])))
+        return F.concat(*parts)
+
+
+def _read(schema: object) -> object:
+    return json.loads(schema, parse_float=Decimal) if isinstance(schema, (str, bytes)) else schema
+
+
+def _located(text: Column, schema: object, formats: bool, resources: dict[str, object] | None) -> tuple[Column, list[Located]]:
+    schema = _read(schema)
     v = F.try_parse_json(text)
-    return v.isNotNull() & _sure(_compiled(v, schema, schema, ()))
+    document = _Document(schema, {k: _read(x) for k, x in (resources or {}).items()}, formats)
+    return v, _Compiler(document).located(v, schema, (), "", "")
+
+
+def conforms(text: Column, schema: object, formats: bool = False, resources: dict[str, object] | None = None) -> Column:
+    """Whether the JSON in text is valid under the schema (a dict, a bool, or its JSON). formats: they assert; resources: other documents by their URI."""
+    v, checks = _located(text, schema, formats, resources)
+    return v.isNotNull() & _sure(_all([ok for *_, ok in checks]))
+
+
+def violations(text: Column, schema: object, formats: bool = False, resources: dict[str, object] | None = None) -> Column:
+    """An array of (keyword_location, instance_location, keyword) of what fails, in the schema's order; null where text isn't JSON.
+
+    Members of objects, allOf and references are located one by one, what lies inside arrays and alternatives at their keyword.
+    """
+    v, checks = _located(text, schema, formats, resources)
+    one = [F.when(~_sure(ok), F.struct(F.lit(w).alias("keyword_location"), F.lit(p).alias("instance_location"), F.lit(k).alias("keyword"))) for w, p, k, ok in checks]
+    kind = "array<struct<keyword_location:string,instance_location:string,keyword:string>>"
+    return F.when(v.isNotNull(), F.array_compact(F.array(*one)) if one else F.array().cast(kind))
+
+
+class Registry:
+    """Schemas by type, each in some revisions; a change is checked as a whole before it is taken."""
+
+    def __init__(self) -> None:
+        self.types: dict[str, list[object]] = {}
+        self.generation = 0
+
+    def apply(self, types: dict[str, list[object]]) -> None:
+        """Replaces all types."""
+        for revisions in types.values():
+            if not revisions:
+                raise ValueError("a type without a revision")
+            for schema in revisions:
+                conforms(F.lit("null"), schema)  # raises where it can't be compiled
+        self.types, self.generation = dict(types), self.generation + 1
+
+    def merge(self, types: dict[str, list[object]]) -> None:
+        """Replaces or adds the given types; the others stay."""
+        self.apply(self.types | types)
+
+    def result(self, kind: Column, text: Column) -> Column:
+        """valid (under one revision at least), invalid, not_json or not_registered."""
+        out = F.when(~F.coalesce(kind.isin(*self.types), F.lit(False)), "not_registered").when(F.try_parse_json(text).isNull(), "not_json")
+        for name, revisions in self.types.items():
+            out = out.when((kind == name) & (_count([conforms(text, s) for s in revisions]) > 0), "valid")
+        return out.otherwise("invalid")
+
+
+def check_fields(schema: object, optional: bool = True, nullable: bool = True, open_objects: bool = True, where: str = "#") -> None:
+    """Raises ValueError where a schema has fields that a policy forbids: not required, null beside another type, or objects open to other members."""
+    schema = _read(schema)
+    if not isinstance(schema, dict):
+        return
+    if not optional and (lost := [n for n in schema.get("properties", {}) if n not in schema.get("required", [])]):
+        raise ValueError(f"{where}: optional fields {lost}")
+    if not nullable and isinstance(schema.get("type"), list) and "null" in schema["type"]:
+        raise ValueError(f"{where}: nullable")
+    if not open_objects and "properties" in schema and schema.get("additionalProperties") is not False:
+        raise ValueError(f"{where}: open to other members")
+    parts = [(k, schema.get(k)) for k in _ONE] + [(f"{k}/{i}", x) for k in _MANY for i, x in enumerate(schema.get(k, []))] + [(f"{k}/{n}", x) for k in _NAMED for n, x in schema.get(k, {}).items()]
+    for k, x in parts:
+        check_fields(x, optional, nullable, open_objects, f"{where}/{k}")
