@@ -117,7 +117,7 @@ def ipv6_text(data: Column) -> Column:
         return out
 
     def joined(digits: Column) -> Column:
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.regexp_replace(F.substr(digits, i * 4 + 1, F.lit(4)), r"^0{1,3}", "")), ":")
+        return F.when(digits.isNotNull(), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.regexp_replace(F.substr(digits, i * 4 + 1, F.lit(4)), r"^0{1,3}", "")), ":"))
 
     return let(F.when(F.length(data) == 16, F.lower(F.hex(data))), lambda d: let(joined(d), shortened))
 
