@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,34 +18,38 @@ def session(df: DataFrame) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir, or in local mode one of our own where that is unset."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skein-"))
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if where is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="skein-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    try:
-        remove(spark, path)
-    except Exception:  # noqa: BLE001  the session may be gone already
-        pass
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
 
 
 class Table:
-    """A table written to the shared folder, which cuts the lineage and survives lost executors."""
+    """A table written to the shared folder, which cuts the lineage and survives lost executors.
+
+    What is not dropped goes when the driver's JVM ends, also after the session was stopped.
+    """
 
     def __init__(self, df: DataFrame, name: str) -> None:
         self.spark = session(df)
         self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        fs, where = _file_system(self.spark, self.path)
         df.write.parquet(self.path)
-        atexit.register(_remove_at_exit, self.spark, self.path)
+        fs.deleteOnExit(where)
         self.schema = df.schema
 
     @property
@@ -61,23 +64,42 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).df
 
 
+class Scratch:
+    """Tables of one computation: those not asked to stay are dropped at its end, also if it fails."""
+
+    def __init__(self) -> None:
+        self.tables: list[Table] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for t in self.tables:
+            t.drop()
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(Table(df, name))
+        return self.tables[-1].df
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the links (a, b: long): one row (node, component) per node that has a link.
 
     component is the smallest node reachable. Alternates the large-star and small-star steps until
     the links stop changing; the neighbours' minimum is a combinable aggregate, so a node with very
-    many links is reduced before the shuffle.
+    many links is reduced before the shuffle. The minima are dealt anew before each join, so that both of
+    its sides are plain exchanges, of which Spark splits the one with a hub's links.
     """
     now = Table(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
-    last = None
+    last, parts = None, int(now.spark.conf.get("spark.sql.shuffle.partitions"))
     while True:
         e = now.df
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")).repartition(parts)
         large = both.join(low, both.a == low.n).where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
         # small star: neighbours below a node are joined to the smallest of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least.withColumnRenamed("b", "n"), F.col("b") == F.col("n"))
+        small = large.join(least.withColumnRenamed("b", "n").repartition(parts), F.col("b") == F.col("n"))
         out = small.select(F.col("m").alias("l"), F.col("a").alias("r")).union(least.select("m", "b")).where("l < r").distinct()
         new = Table(out.toDF("a", "b"), "links")
         mark = new.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
