@@ -26,26 +26,31 @@ from pyspark.sql import DataFrame, functions as F
 from .common import Memory, mix
 
 SPACE = "▁"
-WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 BATCH_BYTES, REMEMBERED, SLOTS = 400_000, 300_000, 1 << 21
+#: Words of more characters are relaxed edge by edge, as few words have an edge at their later offsets.
+LONG, PAIRS_KEPT = 200, 500_000
 _LOADED: dict[str, "Codec"] = {}
 
 
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of data (uint8) ordered by the depth bytes (or more) that follow, by doubling."""
-    rank, k, n = data.astype(np.int64) + 1, 1, len(data)
-    order = np.argsort(rank)
-    while k < depth:
-        key = rank * np.int64(n + 258)
-        key[: n - k] += rank[k:] if k < n else 0
-        order = np.argsort(key)
+    """Positions of data (uint8) ordered by the depth bytes (or more) that follow, by doubling from eight bytes on."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    key = np.zeros(n, np.uint64)
+    for i in range(8):
+        key = key << np.uint64(8) | padded[i : i + n]
+    order, k, rank = np.argsort(key), 8, np.zeros(n, np.int64)
+    while True:
         s = key[order]
         new = np.concatenate(([0], np.cumsum(s[1:] != s[:-1])))
+        if k >= depth or new[-1] == n - 1:
+            return order
         rank[order] = new + 1
-        if new[-1] == n - 1:
-            break
+        key = rank * np.int64(n + 2)
+        key[: max(0, n - k)] += rank[k:]
+        order = np.argsort(key)
         k *= 2
-    return order
 
 
 class Codec:
@@ -100,6 +105,7 @@ class Codec:
                     pairs[int(self.rank[a]) * len(order) + int(self.rank[b])] = int(self.rank[i])
             a, b = self.last_merge(text)
             self.left[self.rank[i]], self.right[self.rank[i]] = self.rank[a], self.rank[b]
+        self.pairs, self.apart = pairs, {}
         self.pair_key = np.array(sorted(pairs), np.int64)
         self.pair_rank = np.array([pairs[k] for k in self.pair_key.tolist()], np.int64)
 
@@ -193,8 +199,9 @@ class Codec:
         return start, start + self.lengths[which], self.reach[which]
 
     def relax(self, words: list[str]) -> list[bytes]:
-        """The encodings of words that hold no run of spaces, as int32 ids."""
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        """The encodings of words, each behind a space, that hold no run of spaces, as int32 ids."""
+        space = SPACE.encode()
+        raw = [space + w.encode("utf-8", "surrogatepass") for w in words]
         data = np.frombuffer(b"\x00".join(raw) + b"\x00", np.uint8)
         length = np.array([len(r) for r in raw])
         begin = np.concatenate(([0], np.cumsum(length + 1)[:-1]))
@@ -241,28 +248,81 @@ class Codec:
         cut = np.concatenate(([0], np.cumsum(np.bincount(word, n, len(words))))).astype(np.int64) * 4
         return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
+    def stays_apart(self, left: int, right: int) -> bool:
+        """unmerged for one pair, remembered."""
+        if len(self.apart) > PAIRS_KEPT:
+            self.apart.clear()
+        key = left * self.size + right
+        out = self.apart.get(key)
+        if out is None:
+            n = limit = len(self.left)
+            x, y, out = int(self.rank[left]), int(self.rank[right]), True
+            while True:
+                if self.pairs.get(x * n + y, limit) < limit:
+                    out = False
+                    break
+                in_x, in_y = int(self.right[x]), int(self.left[y])
+                if in_x != x and (in_y == y or x > y):
+                    x, limit = in_x, x
+                elif in_y != y:
+                    y, limit = in_y, y + 1
+                else:
+                    break
+            self.apart[key] = out
+        return out
+
+    def relax_long(self, word: str) -> bytes:
+        """The encoding of one long word behind a space: edges by slices of the text, relaxed one after another by their start."""
+        data = np.frombuffer((SPACE + word).encode("utf-8", "surrogatepass"), np.uint8)
+        last, back, size = [-1] * (len(data) + 1), [0] * (len(data) + 1), self.size
+        last[0] = size + 1
+        head = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        for at in range(0, len(data), BATCH_BYTES):
+            start, end, piece = self.edges(data[at : at + BATCH_BYTES + self.depth])
+            start, end = start + at, end + at
+            own = head[:-1][(head[:-1] >= at) & (head[:-1] < at + BATCH_BYTES)]
+            own_end = head[np.searchsorted(head, own) + 1]
+            # characters that are no piece: an edge that stands for their bytes
+            lost = ~np.isin(own << 8 | own_end - own, start << 8 | end - start)
+            start, end, piece = np.concatenate([start, own[lost]]), np.concatenate([end, own_end[lost]]), np.concatenate([piece, np.full(lost.sum(), size)])
+            here = start < at + BATCH_BYTES
+            start, end, piece = start[here], end[here], piece[here]
+            order = np.argsort(start, kind="stable")
+            for s, e, p in zip(start[order].tolist(), end[order].tolist(), piece[order].tolist()):
+                before = last[s]
+                if before >= 0 and (p >= size or before >= size or self.stays_apart(before, p)):
+                    last[e], back[e] = p, s
+        ids, at = [], len(data)
+        while at > 0:
+            ids.append([last[at]] if last[at] < size else self.byte_ids[data[back[at] : at]].tolist())
+            at = back[at]
+        return np.array([i for own in reversed(ids) for i in own], "<i4").tobytes()
+
     def learn(self, words: list[str]) -> list[tuple[str, bytes]]:
-        out, batch, size = [], [], 0
+        """(word, ids) of words that each stand behind a space."""
+        out, short = [], []
         for w in words:
-            if SPACE * 2 in w:
-                out.append((w, np.array(self.merge(w), "<i4").tobytes()))
-                continue
-            batch.append(w)
-            size += len(w) + 3
-            if size > BATCH_BYTES:
-                out += zip(batch, self.relax(batch))
-                batch, size = [], 0
-        return out + list(zip(batch, self.relax(batch))) if batch else out
+            if len(w) > LONG or SPACE in w:
+                out.append((w, np.array(self.merge(SPACE + w), "<i4").tobytes() if SPACE in w else self.relax_long(w)))
+            else:
+                short.append(w)
+        size = np.cumsum(np.fromiter(map(len, short), np.int64, len(short)) + 4)
+        cuts = (np.flatnonzero(np.diff(size // BATCH_BYTES)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(short)]):
+            if b > a:
+                out += zip(short[a:b], self.relax(short[a:b]))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
+        # words without the space before them; of a run of spaces all but the first stay
         split = []
         for t in texts:
             if not t:
                 split.append([])
             elif SPACE in t or "  " in t or t[0] == " " or t[-1] == " ":
-                split.append(WORD.findall(SPACE + t.replace(" ", SPACE)))
+                split.append([w[1:] for w in WORD.findall(SPACE + t.replace(" ", SPACE))])
             else:
-                split.append((SPACE + t.replace(" ", " " + SPACE)).split(" "))
+                split.append(t.split(" "))
         known = self.known.of(set().union(*split), self.learn)
         return [None if t is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, split)]
 
