@@ -7,7 +7,8 @@ their tree; the same joins, run from the longest distance down, list the nodes o
 root-to-leaf path, which is then formatted as one conversation.
 
 Turns are written as <s>[INST]role[/INST]\\ntext</s>\\n; these control strings inside roles and texts
-are escaped with ~, reversibly. Null roles and texts are empty. A node whose parent is missing is
+are escaped with ~, reversibly. loss holds the ranges of formatted (code points, end exclusive) that
+are assistants' texts. Null roles and texts are empty. A node whose parent is missing is
 a root; nodes of a cycle belong to no path and are left out. Ties go to the smaller node. A repeated
 (tree, node) counts once. Without rows the result is empty.
 """
@@ -35,14 +36,13 @@ def unescaped(c: Column) -> Column:
     return c
 
 
-def segments_of(turns: Column) -> Column:
-    """Pieces (text, loss) of a conversation; loss marks the assistant's texts."""
-    turn = lambda t: F.array(
-        F.struct(F.concat(F.lit(BEGIN), escaped(t["role"]), F.lit(HEAD)).alias("text"), F.lit(False).alias("loss")),
-        F.struct(escaped(t["text"]).alias("text"), (t["role"] == "assistant").alias("loss")),
-        F.struct(F.lit(END).alias("text"), F.lit(False).alias("loss")),
-    )
-    return F.flatten(F.transform(turns, turn))
+def formatted_turn(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(BEGIN), escaped(role), F.lit(HEAD), escaped(text), F.lit(END))
+
+
+def masked(formatted: Column, loss: Column) -> Column:
+    """The texts under a loss mask, unescaped, nothing between them."""
+    return F.array_join(F.transform(loss, lambda r: unescaped(F.substr(formatted, r["start"] + 1, r["end"] - r["start"]))), "")
 
 
 def parsed(formatted: Column) -> Column:
@@ -71,7 +71,7 @@ def root_paths(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def format_trees(nodes: DataFrame, paths: int = 1) -> DataFrame:
-    """tree, leaf, rank, total, n_turns, segments, formatted: the paths best root-to-leaf paths of each tree."""
+    """tree, leaf, rank, total, n_turns, loss, formatted: the paths best root-to-leaf paths of each tree."""
     nodes = nodes.dropDuplicates(["tree", "node"])
     known, jumps = root_paths(nodes)
     leaves = known.join(jumps[0].select("tree", F.col("up").alias("node")), ["tree", "node"], "left_anti")
@@ -81,9 +81,14 @@ def format_trees(nodes: DataFrame, paths: int = 1) -> DataFrame:
     for jump in reversed(jumps[:-1]):
         on = saved(on.union(on.join(jump, ["tree", "node"]).select("tree", "leaf", "up")), "paths")
     turns = on.join(known.select("tree", "node", "depth"), ["tree", "node"]).join(nodes.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")), ["tree", "node"])
-    whole = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns"))
-    whole = whole.join(chosen, ["tree", "leaf"]).withColumn("segments", segments_of(F.col("turns")))
-    return whole.select("tree", "leaf", "rank", "total", F.size("turns").cast("long").alias("n_turns"), "segments", F.array_join(F.col("segments.text"), "").alias("formatted"))
+    turns = turns.withColumn("turn", formatted_turn(F.col("role"), F.col("text")))
+    # where each turn ends, by a running sum over the rows that the grouping below needs together anyway
+    turns = turns.withColumn("end", F.sum(F.length("turn")).over(Window.partitionBy("tree", "leaf").orderBy("depth", "node")).cast("int") - len(END))
+    turns = turns.withColumn("start", F.col("end") - F.length(escaped(F.col("text"))))
+    whole = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "role", "turn", "start", "end"))).alias("turns"))
+    whole = whole.join(chosen, ["tree", "leaf"])
+    loss = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
+    return whole.select("tree", "leaf", "rank", "total", F.size("turns").cast("long").alias("n_turns"), loss.alias("loss"), F.array_join(F.col("turns.turn"), "").alias("formatted"))
 
 
 def chain_nodes(rows: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 Every text gets its rule figures in one pass without a shuffle. Failures are then counted by host;
 a beta prior is fitted to the hosts' failure rates by moments (each host weighted by its documents),
-and each host's rate is shrunk towards it. A document is kept if it passes its own rules and its
-host's shrunk rate is at most max_host_rate.
+and each host's rate is shrunk towards it. The host's verdict is how strict its documents are judged:
+a document's margin is the share of the allowed repetition that it leaves unused, and it is kept if it
+passes its own rules, its margin reaches its host's shrunk rate, and that is at most max_host_rate.
+So a document without repeats stays on any host but the worst, and one that just passes stays on a
+host that seldom fails and goes on one that often does.
 
 Null texts have no words and fail (too few words). A null host is a host of its own. Repeated rows
 count as often as they appear. An empty table gives an empty result. Other columns pass through.
@@ -16,19 +19,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import SPACE, saved
 
 SYMBOLS = "#*$%&|<>"
-#: The joins that bring a host's verdict back deal each host out over so many parts.
-SALT = 64
+#: Percent of a text's words that may stand in repeated windows.
+ALLOWED = 20
 
 
 def repeated_window_words(words: Column, size: int = 5) -> Column:
     """Words that stand in a window of size words that occurs at least twice in the text.
 
-    Windows are hashed and sorted with their positions; neighbours in that order that are equal are
-    repeats, and the sorted positions of all repeats are covered once each: n log n, no shuffle.
+    Each word is hashed once, and windows from their words' hashes. Where windows repeat, they are sorted with
+    their positions; neighbours in that order that are equal are repeats, and the sorted positions of all repeats
+    are covered once each: n log n, no shuffle.
     """
-    n = F.size(words)
-    at = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    hashed = F.array_sort(F.transform(at, lambda i: F.struct(F.xxhash64(F.slice(words, i, size)).alias("h"), i.alias("i"))))
+
+    def let(value: Column, body) -> Column:
+        """body(value), computing value once."""
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def windows(h: Column) -> Column:
+        starts = F.when(F.size(h) >= size, F.sequence(F.lit(0), F.size(h) - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(size))))
 
     def repeats(s: Column) -> Column:
         twice = F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"])) | (F.get(s, k + 1)["h"] == x["h"]))
@@ -37,11 +46,11 @@ def repeated_window_words(words: Column, size: int = 5) -> Column:
     def covered(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(size), F.coalesce(F.get(p, k + 1) - x, F.lit(size)))), F.lit(0), lambda a, x: a + x)
 
-    def let(value: Column, body) -> Column:
-        """body(value), computing value once."""
-        return F.get(F.transform(F.array(value), body), F.lit(0))
+    def counted(w: Column) -> Column:
+        placed = F.array_sort(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(let(placed, lambda s: let(repeats(s), covered)))
 
-    return let(hashed, lambda s: let(repeats(s), covered))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(windows(h), counted))
 
 
 def rule_figures(docs: DataFrame) -> DataFrame:
@@ -57,7 +66,7 @@ def rule_figures(docs: DataFrame) -> DataFrame:
         "n_dup_lines": (F.size("__skein_lines") - F.size(F.array_distinct("__skein_lines"))).cast("long"),
         "n_repeat_words": repeated_window_words(F.col("__skein_words")).cast("long"),
     })
-    return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).drop("__skein_words", "__skein_lines")
+    return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > ALLOWED * F.col("n_words"))).drop("__skein_words", "__skein_lines")
 
 
 def host_rates(figures: DataFrame, host: str) -> DataFrame:
@@ -77,13 +86,16 @@ def host_rates(figures: DataFrame, host: str) -> DataFrame:
     return by.select("host", "n", "failed", ((F.col("failed") + mean * strength) / (F.col("n") + strength)).alias("rate"))
 
 
+def margin() -> Column:
+    """The share of the allowed repetition that a document leaves unused: 1 without repeats, 0 at the limit."""
+    return 1.0 - 100 * F.col("n_repeat_words") / (ALLOWED * F.col("n_words"))
+
+
 def quality(docs: DataFrame, host: str = "source", max_host_rate: float = 0.5, keep_text: bool = False) -> DataFrame:
     """docs (without text, unless keep_text) with the rule figures, base_failed, host_rate and kept."""
     figures = rule_figures(docs.drop("host_rate"))
     figures = saved(figures if keep_text else figures.drop("text"), "figures")
-    # a row's part: hot hosts are dealt out over SALT of them
-    figures = figures.withColumn("__skein_part", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALT)))
-    rates = host_rates(figures, host).select("host", F.col("rate").alias("host_rate"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("__skein_at"))
-    rates = rates.withColumnRenamed("host", "__skein_host")
-    out = figures.join(rates, F.col(host).eqNullSafe(F.col("__skein_host")) & (F.col("__skein_part") == F.col("__skein_at"))).drop("__skein_host", "__skein_at", "__skein_part")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_host_rate))
+    # both sides of the join are written tables: Spark broadcasts few hosts and splits a hot one
+    rates = saved(host_rates(figures, host).select(F.col("host").alias("__skein_host"), F.col("rate").alias("host_rate")), "rates")
+    out = figures.join(rates, F.col(host).eqNullSafe(F.col("__skein_host"))).drop("__skein_host")
+    return out.withColumn("kept", ~F.col("base_failed") & (margin() >= F.col("host_rate")) & (F.col("host_rate") <= max_host_rate))

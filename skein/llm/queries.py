@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .chat import chain_nodes, format_trees, parsed, unescaped
+from .chat import chain_nodes, format_trees, masked, parsed
 from .embedding_dedup import embedding_duplicates
 from .line_dedup import LOWEST, dedup_lines
 from .minhash_dedup import near_duplicates
@@ -45,8 +45,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = format_trees(chain_nodes(rows))
     turns = parsed(F.col("formatted"))
     whole = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
-    out = out.withColumn("_loss", loss)
+    out = out.withColumn("_loss", masked(F.col("formatted"), F.col("loss")))
     return out.select(
         F.nullif("tree", F.lit(LOWEST)).alias("conv_id"), F.size(turns).cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
@@ -87,7 +86,7 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    chain = train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), default_categories())
+    chain = train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), default_categories())
     return score(docs, chain).drop("text")
 
 
@@ -169,7 +168,7 @@ v AS (SELECT *, mean * (1 - mean) AS within, (squares / n - mean * mean - mean *
 p AS (SELECT mean, CASE WHEN n > hosts AND v > 0 AND v < within THEN within / v - 1 ELSE 1e9 END AS strength FROM v),
 r AS (SELECT source, (failed + mean * strength) / (n + strength) AS rate FROM h, p)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-  n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept FROM b JOIN r ON r.source IS NOT DISTINCT FROM b.source
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND 1.0::DOUBLE - (100 * n_repeat_words)::DOUBLE / (20 * n_words)::DOUBLE >= rate AND rate <= 0.5 AS kept FROM b JOIN r ON r.source IS NOT DISTINCT FROM b.source
 """
 
 
