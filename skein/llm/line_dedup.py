@@ -8,9 +8,9 @@ number of times. Runs share their bucketing, so neither those merges nor the bat
 the runs again. The last merge tells which keys are common; those leave every document but the
 holder.
 
-Every input row counts as one document: rows repeating a doc_id each count, and all rows of the
-holder's doc_id keep the line. A null doc_id counts as the smallest one. A null text is one empty
-line. Short keys are never common. Other columns pass through.
+A document is a doc_id: rows that repeat one count once for a line, and all rows of the holder's doc_id
+keep the line. A null doc_id counts as the smallest one. A null text is one empty line. Short keys are
+never common. Keys are compared by 128 bits of hashes. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -64,8 +64,8 @@ class LineRuns:
         return keys.withColumn("novel", ~known).select("h1", "h2", "docs", "holder", "novel")
 
     def add(self, lines: DataFrame) -> None:
-        """lines: h1, h2, doc_id of a batch, once per key and document, the doc_ids below those of earlier batches."""
-        own = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("holder"))
+        """lines: h1, h2, doc_id of a batch, the doc_ids below those of earlier batches."""
+        own = lines.distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("holder"))
         run = self.novel(own).select("h1", "h2", "docs", F.when(F.col("novel"), F.col("holder")).alias("holder"))
         self.levels.setdefault(0, []).append(self._write(run))
         level = 0
@@ -111,16 +111,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bat
     batch = sum((F.when(F.col("doc_id") < cut, 1).otherwise(0) for cut in cuts), F.lit(0))
     lines = Table(line_keys(docs, least_chars).withColumn("batch", batch), "lines")
     runs = LineRuns(spark, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    for k in range(len(cuts) + 1):
-        runs.add(lines.df.where(F.col("batch") == k).select("h1", "h2", "doc_id"))
-    common = saved(runs.compact().where(F.col("docs") >= least_docs).select("h1", "h2", "holder"), "common")
-    runs.close()
-    drops = lines.df.join(common, ["h1", "h2"]).where("doc_id <> holder").groupBy(F.col("doc_id").alias("__skein_id")).agg(F.collect_set("h1").alias("__skein_drop"))
+    try:
+        for k in range(len(cuts) + 1):
+            runs.add(lines.df.where(F.col("batch") == k).select("h1", "h2", "doc_id"))
+        common = saved(runs.compact().where(F.col("docs") >= least_docs).select("h1", "h2", "holder"), "common")
+    finally:
+        runs.close()
+    drops = lines.df.join(common, ["h1", "h2"]).where("doc_id <> holder").groupBy(F.col("doc_id").alias("__skein_id")).agg(F.collect_set(F.struct("h1", "h2")).alias("__skein_drop"))
     held = docs.withColumn("__skein_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).join(drops, "__skein_id", "left")
 
     def stays(line: Column) -> Column:
         key = key_of(lower_ascii(line))
-        return (F.length(key) < least_chars) | ~F.array_contains("__skein_drop", F.xxhash64(key))
+        return (F.length(key) < least_chars) | ~F.array_contains("__skein_drop", F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(1)).alias("h2")))
 
     whole = F.coalesce("text", F.lit(""))
     held = held.withColumn("__skein_kept", F.when(F.col("__skein_drop").isNotNull(), F.filter(lines_of(F.col("text")), stays)))
