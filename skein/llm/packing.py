@@ -7,10 +7,12 @@ each wastes less than one sequence more than a single group would.
 
 In a group, a bin takes the longest piece that fits until none does. Then its smallest piece goes
 back if two unpacked pieces fill the room it leaves, gap included, more tightly; the best such pair
-takes its place, again and again until nothing is gained.
+takes its place, again and again until nothing is gained. A group that best-fit decreasing packs into
+fewer bins takes those.
 
-Null texts are empty and have the closing id only. Rows that repeat a doc_id give pieces each.
-Ties are broken by doc_id and piece. An empty table gives no piece.
+Null texts are empty and have the closing id only. Rows that repeat a doc_id give pieces each; these,
+and those without a doc_id, are dealt out like others, by their places in the table. Ties in a group are
+broken by doc_id and piece. An empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import Memory
 
 GROUP = 4096
+#: Pieces in a group, about, at most.
+GROUP_ROWS = 500_000
 #: Words that a worker remembers (see Memory).
 REMEMBERED = 400_000
 _SEEN: dict[str, tuple] = {}
@@ -160,18 +164,41 @@ def best_two_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
+def best_fit_decreasing(lengths: list[int], size: int) -> list[list[int]]:
+    """Bins of indices: the longest first, each into the fullest bin that has room."""
+    bins: list[list[int]] = []
+    by_room: dict[int, list[int]] = {}
+    mask = 0
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        fits = mask >> lengths[i]
+        if fits:
+            room = lengths[i] + (fits & -fits).bit_length() - 1
+            k = by_room[room].pop()
+            if not by_room[room]:
+                mask ^= 1 << room
+        else:
+            room, k = size, len(bins)
+            bins.append([])
+        bins[k].append(i)
+        if room := room - lengths[i]:
+            by_room.setdefault(room, []).append(k)
+            mask |= 1 << room
+    return bins
+
+
 def packed(pieces: DataFrame, size: int = 2048, group: int = GROUP) -> DataFrame:
-    """pieces (doc_id, piece, length, ...) with sequence_id and offset; length is 1 to size. pieces should be cheap to read twice."""
-    total = pieces.agg(F.sum("length")).first()[0] or 0  # one row
-    groups = max(1, round(total / size / group))
-    dealt = pieces.withColumn("__skein_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    """pieces (doc_id, piece, length, ...) with sequence_id and offset; length is 1 to size. pieces should be a written table."""
+    tokens, rows = pieces.agg(F.sum("length"), F.count(F.lit(1))).first()  # one row
+    groups = max(1, round((tokens or 0) / size / group), -(-rows // GROUP_ROWS))
+    dealt = pieces.withColumn("__skein_group", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)))
     schema = dealt.drop("__skein_group").schema.add("sequence_id", "long").add("offset", "long")
 
     def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece", "length"], kind="stable", ignore_index=True).drop(columns="__skein_group")
         lengths = rows["length"].to_numpy()
         sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        for k, own in enumerate(best_two_fit(lengths.tolist(), size)):
+        each = lengths.tolist()
+        for k, own in enumerate(min(best_two_fit(each, size), best_fit_decreasing(each, size), key=len)):
             sequence[own] = (int(key[0]) << 32) + k
             offset[own] = np.concatenate(([0], np.cumsum(lengths[own])[:-1]))
         return rows.assign(sequence_id=sequence, offset=offset)
