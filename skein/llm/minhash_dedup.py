@@ -9,14 +9,16 @@
    that a hot band is spread over many tasks. In a chunk, sketches are XORed in blocks; the
    population counts estimate similarities, and each member's closest partner becomes a candidate.
 4. Candidates are confirmed on full shingle sets, and components are taken.
-5. Members outside a band's dominant component meet all chunks of that band, which yields further
-   candidates across components: first the best few of each member, then all that are left, for
-   which finer sketches (2048 samples in 4096 bits) keep the candidates near the threshold few.
-   Pairs inside a component are never listed, so a hot group of near copies costs little.
+5. Members outside a band's dominant component meet further members: first the best few of their own
+   chunk, then, in blocks, all chunks of that band, for which finer sketches (2048 samples in 4096 bits)
+   keep the candidates near the threshold few. A block with very many candidates all the same (texts that
+   are all a little less alike than the threshold) lists none of them, but has its members' full sets
+   brought along and confirms in place. Pairs inside a component are never listed, so a hot group of near
+   copies costs little.
 
 Rows with a null doc_id count as one document id of their own (null stays null in the result).
 Null or blank texts have an empty set and are linked with nothing. Rows that repeat a doc_id each
-get a result row; if their texts differ, the doc_id is one node, confirmed by its smallest text.
+get a result row; if their texts differ, each is linked for itself, and all of them are one node.
 An empty table gives an empty result. Other columns are ignored here.
 """
 
@@ -26,11 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Table, components, mix, saved, text_chunks, word_bytes_table, word_hashes
+from .common import Scratch, components, mix, saved, text_chunks, word_bytes_table, word_hashes
 
 SAMPLES, BITS, CHUNK = 256, 512, 1024
+#: A block with more candidates for each of its rows confirms them in place.
+DENSE = 16
 #: A pair at the threshold shares no band with a smaller chance than this.
 MISSED = 1e-4
 #: Pairs whose estimate is lower are not confirmed: over four standard errors below 0.85; at other thresholds as many (see slack).
@@ -103,17 +107,21 @@ def similarity(xor_bits: np.ndarray, samples: int = SAMPLES, bits: int = BITS) -
     return 1 + bits / (4 * samples) * np.log(np.maximum(1 - 2 * xor_bits / bits, 1e-9))
 
 
-FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary, bands array<long>"
+FEATURES = "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, sketch binary, bands array<long>"
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def features(docs: DataFrame, shingle: int, rows: int, samples: int = SAMPLES) -> DataFrame:
-    """doc_id, set size, 128-bit hash of the set, odd sketch and band hashes of every text."""
+    """doc_id, hash of the text, set size, 128-bit hash of the set, odd sketch and band hashes of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _constants(samples)
         spread = mix(np.arange(1, samples + 1, dtype=np.uint64) << np.uint64(8))
         for batch in batches:
-            for i, n, data, ends in text_chunks(batch.column(1)):
+            for i, n, data, ends in text_chunks(batch.column(2)):
                 sizes, h, sketches, bands = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64), [], []
                 for k, s in enumerate(shingle_sets(data, ends, shingle)):
                     sizes[k] = len(s)
@@ -128,11 +136,11 @@ def features(docs: DataFrame, shingle: int, rows: int, samples: int = SAMPLES) -
                     bands.append(mix(keys).view(np.int64))
                 lengths = np.concatenate(([0], np.cumsum([len(x) for x in bands]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, n), pa.array(sizes), pa.array(h[:, 0].view(np.int64)), pa.array(h[:, 1].view(np.int64)), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(bands)))],
-                    ["doc_id", "n_shingles", "h1", "h2", "sketch", "bands"],
+                    [batch.column(0).slice(i, n), batch.column(1).slice(i, n), pa.array(sizes), pa.array(h[:, 0].view(np.int64)), pa.array(h[:, 1].view(np.int64)), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(bands)))],
+                    ["doc_id", "text_hash", "n_shingles", "h1", "h2", "sketch", "bands"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, FEATURES)
+    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), F.col("text").cast("string")).mapInArrow(run, FEATURES)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -183,6 +191,17 @@ def fine_sketches(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("rep", "text").mapInArrow(run, "rep long, sketch binary")
 
 
+def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """rep and shingles, the whole set of sorted hashes in bytes, for texts (rep, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, n, data, ends in text_chunks(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array([s.tobytes() for s in shingle_sets(data, ends, shingle)], pa.binary())], ["rep", "shingles"])
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, shingles binary")
+
+
 PAIRS = "a long, b long"
 
 
@@ -214,39 +233,106 @@ def closest(groups: DataFrame, least: float) -> DataFrame:
     return groups.mapInArrow(run, PAIRS).distinct()
 
 
-def across(groups: DataFrame, least: float, top: int | None, samples: int = SAMPLES, bits: int = BITS) -> DataFrame:
-    """Candidates between components: each stranger of a (key, chunk) with its best members of other components (all, if top is None).
+def _candidates(t: pa.Table, s: int, e: int, least: float, samples: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For the rows s to e of one block: strangers, the columns that they meet, and the estimates of pairs between components.
 
-    A pair meets in every band it shares; only the first of them takes it.
+    A pair meets in every band it shares; only the first of them takes it: elsewhere, and below least, the estimate is -1.
     """
+    t = t.slice(s, e - s)
+    comp, sk, side = np.asarray(t.column("comp")), _sketches(t, bits), np.asarray(t.column("stranger"))
+    key, bands = t.column("key")[0].as_py(), np.array(t.column("bands").to_pylist(), np.int64).reshape(len(t), -1)
+    rows, cols = np.flatnonzero(side), np.flatnonzero(~side)
+    for k in range(0, len(rows), 32):
+        r = rows[k : k + 32]
+        est = _estimates(sk[r], sk[cols], samples, bits)
+        est[(comp[r][:, None] == comp[cols][None, :]) | (est < least)] = -1
+        x, y = np.nonzero(est >= least)
+        shared = bands[r[x]] == bands[cols[y]]
+        later = bands[r[x], shared.argmax(axis=1)] != key
+        est[x[later], y[later]] = -1
+        yield s + r, s + cols, est
+
+
+def best_across(groups: DataFrame, least: float, top: int) -> DataFrame:
+    """Candidates between components: each stranger of a (key, chunk, block) with its best members of other components there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, 2):
-            at, rep, comp, sk = _bounds(t, 2), np.asarray(t.column("rep")), np.asarray(t.column("comp")), _sketches(t, bits)
-            stranger, home = np.asarray(t.column("stranger")), np.asarray(t.column("home"))
-            key, bands = np.asarray(t.column("key")), np.array(t.column("bands").to_pylist(), np.int64).reshape(len(t), -1)
-            found = []
+        for t in _groups(batches, 3):
+            at, rep, found = _bounds(t, 3), np.asarray(t.column("rep")), []
             for s, e in zip(at[:-1], at[1:]):
-                rows, cols = s + np.flatnonzero(stranger[s:e]), s + np.flatnonzero(home[s:e])
-                for k in range(0, len(rows), 32):
-                    r = rows[k : k + 32]
-                    est = _estimates(sk[r], sk[cols], samples, bits)
-                    est[comp[r][:, None] == comp[cols][None, :]] = -1
-                    x, y = np.nonzero(est >= least)
-                    shared = bands[r[x]] == bands[cols[y]]
-                    later = bands[r[x], shared.argmax(axis=1)] != key[s]
-                    est[x[later], y[later]] = -1
+                for rows, cols, est in _candidates(t, s, e, least, SAMPLES, BITS):
                     ok = est >= least
-                    if top is not None and len(cols) > top:
+                    if len(cols) > top:
                         ok &= est >= np.partition(est, -top, axis=1)[:, -top][:, None]
                     x, y = np.nonzero(ok)
-                    found.append((r[x], cols[y]))
+                    found.append((rows[x], cols[y]))
             if found:
                 yield _pairs(rep, np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
 
     return groups.mapInArrow(run, PAIRS).distinct()
 
 
+BLOCKS = "a long, b long, chunk int, block int"
+
+
+def all_across(groups: DataFrame, least: float) -> DataFrame:
+    """All candidates between components by finer sketches: (a, b), or (key, null, chunk, block) for a block that is dense."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 3):
+            at, rep = _bounds(t, 3), np.asarray(t.column("rep"))
+            key, chunk, block = (np.asarray(t.column(c)) for c in ("key", "chunk", "block"))
+            found, dense = [], []
+            for s, e in zip(at[:-1], at[1:]):
+                own, n = [], 0
+                for rows, cols, est in _candidates(t, s, e, least, FINE_SAMPLES, FINE_BITS):
+                    x, y = np.nonzero(est >= least)
+                    own.append((rows[x], cols[y]))
+                    n += len(x)
+                    if n > DENSE * (e - s):
+                        break
+                if n > DENSE * (e - s):
+                    dense.append(s)
+                else:
+                    found += own
+            if found:
+                p = _pairs(rep, np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
+                yield pa.RecordBatch.from_arrays([*p.columns, pa.nulls(len(p), pa.int32()), pa.nulls(len(p), pa.int32())], ["a", "b", "chunk", "block"])
+            if dense:
+                yield pa.RecordBatch.from_arrays([pa.array(key[dense]), pa.nulls(len(dense), pa.int64()), pa.array(chunk[dense]), pa.array(block[dense])], ["a", "b", "chunk", "block"])
+
+    return groups.mapInArrow(run, BLOCKS).distinct()
+
+
+def confirmed_in_place(groups: DataFrame, least: float, percent: int) -> DataFrame:
+    """Links between components in dense blocks, whose rows bring their full sets along; what earlier links of the block join is not tried again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 3):
+            at, rep, comp, got_i, got_j = _bounds(t, 3), np.asarray(t.column("rep")), np.asarray(t.column("comp")), [], []
+            sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+            for s, e in zip(at[:-1], at[1:]):
+                names, label = np.unique(comp[s:e], return_inverse=True)
+                for rows, cols, est in _candidates(t, s, e, least, FINE_SAMPLES, FINE_BITS):
+                    for r, row in zip(rows, est):
+                        js = cols[row >= least]
+                        js = js[label[js - s] != label[r - s]]
+                        if len(js) == 0:
+                            continue
+                        size = np.array([len(sets[j]) for j in js])
+                        hit = np.isin(np.concatenate([sets[j] for j in js]), sets[r])
+                        both = np.add.reduceat(hit, np.concatenate(([0], np.cumsum(size)[:-1])))
+                        for j in js[100 * both >= percent * (len(sets[r]) + size - both)]:
+                            if label[j - s] != label[r - s]:
+                                label[label == label[j - s]] = label[r - s]
+                                got_i.append(r)
+                                got_j.append(j)
+            if got_i:
+                yield _pairs(rep, np.array(got_i), np.array(got_j))
+
+    return groups.mapInArrow(run, PAIRS).distinct()
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets satisfy 100 * intersection >= percent * union."""
 
@@ -271,43 +357,83 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Documents are linked whose sets of shingle-word shingles satisfy 100 * intersection >= percent *
     union; component_id is the smallest doc_id reachable by links, kept says that it is the row's own.
     """
-    least = percent / 100 - slack(percent, SLACK)
-    part = saved(features(docs, shingle, band_rows(percent)), "features")
-    own = part.where("n_shingles > 0 and doc_id is not null")
-    classes = saved(own.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = own.select("doc_id", "h1", "h2", "sketch", "bands").join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"]).dropDuplicates(["doc_id", "h1", "h2"]).select(F.col("doc_id").alias("rep"), "sketch", "bands")
-    reps = saved(reps, "reps")
-    keyed = reps.select("rep", F.explode("bands").alias("key")).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
+    with Scratch() as scratch:
+        part = scratch.saved(features(docs, shingle, band_rows(percent)), "features")
+        own = part.where("n_shingles > 0 and doc_id is not null")
+        # rep numbers the classes of equal sets, as the table is written; a class is confirmed by the text of one of its rows
+        classes = own.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash"))
+        classes = scratch.saved(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+        numbered = saved(part.select("doc_id", "n_shingles", "h1", "h2").join(classes.select("h1", "h2", F.col("rep").alias("class")), ["h1", "h2"], "left").select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("rep")), "numbered")
+        links = set_links(docs, part, classes, shingle, percent, scratch)
+        # the classes of one doc_id are one node
+        ids = scratch.saved(numbered.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b"), "repeated")
+        twins = numbered.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
+        comp = scratch.saved(components(links.union(twins)), "components")
+        named = scratch.saved(classes.select("rep", "doc_id").join(comp, F.col("rep") == F.col("node"), "left").select("rep", "doc_id", F.coalesce("component", "rep").alias("component")), "named")
+        first = scratch.saved(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "first")
+        named = saved(named.join(first, "component").select("rep", "component_id"), "named")
+    out = numbered.join(named, "rep", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("component_id") == F.col("doc_id")).alias("kept"))
+
+
+def set_links(docs: DataFrame, part: DataFrame, classes: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) of classes whose components are those of all links: bands, candidates, confirmation on full sets."""
+    saved = scratch.saved
+    least, fine_least = percent / 100 - slack(percent, SLACK), percent / 100 - slack(percent, FINE_SLACK)
+    node = ["h1", "h2", "doc_id", "text_hash"]
+    reps = saved(part.select(*node, "sketch", "bands").join(classes, node).dropDuplicates(node).select("rep", "sketch", "bands"), "reps")
+    keyed = reps.select("rep", F.explode("bands").alias("key"))
+    sizes = saved(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     # a hot band is dealt out over chunks by a hash of the member
     chunk = F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("size") / CHUNK)).cast("int")
-    groups = saved(keyed.withColumn("chunk", chunk).join(reps, "rep"), "bands")
-
-    def dealt(g: DataFrame) -> DataFrame:
-        return g.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "rep")
+    groups = saved(keyed.join(sizes, "key").withColumn("chunk", chunk).join(reps, "rep"), "bands")
 
-    pairs = saved(closest(dealt(groups.select("key", "chunk", "rep", "sketch")), least), "pairs")
+    pairs = saved(closest(groups.select("key", "chunk", "rep", "sketch").repartition("key", "chunk").sortWithinPartitions("key", "chunk", "rep"), least), "pairs")
     wanted = pairs.select("a").union(pairs.select("b")).union(groups.where(f"size > {CHUNK}").select("rep")).toDF("rep").distinct()
-    texts = saved(docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text")), "texts")
+    wanted = classes.select("rep", "doc_id", "text_hash").join(wanted, "rep")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), F.col("text").cast("string").alias("text"))
+    texts = saved(texts.join(wanted.hint("merge"), ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
     links = saved(confirmed(pairs, texts, shingle, percent), "confirmed")
-    tried = pairs
-    for top in (3, None):
+
+    def between_components(links: DataFrame) -> DataFrame:
+        """The rows of bands that hold several components, with comp, whether it is another than the band's main one (stranger), and the strangers' number."""
         comp = saved(components(links), "components")
         g = groups.join(comp, F.col("rep") == F.col("node"), "left").select("key", "chunk", "rep", "sketch", "bands", "size", F.coalesce("component", "rep").alias("comp"))
         counts = g.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1").select("key", "main")
-        g = g.join(mixed, "key").withColumn("stranger", F.col("comp") != F.col("main"))
-        # strangers to a band's main component meet every chunk of it; the others stay in their own
-        g = g.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-        at = F.when(F.col("stranger"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-        g = g.withColumn("at", F.explode(at)).select("key", F.col("at").alias("chunk"), "rep", "sketch", "bands", "comp", "stranger", (F.col("at") == F.col("chunk")).alias("home"))
-        if top is None:  # all that is left, by finer sketches; whatever has no text has no candidate
-            found = across(dealt(g.drop("sketch").join(saved(fine_sketches(texts, shingle), "fine"), "rep").select("key", "chunk", "rep", "sketch", "bands", "comp", "stranger", "home")), percent / 100 - slack(percent, FINE_SLACK), None, FINE_SAMPLES, FINE_BITS)
-        else:
-            found = across(dealt(g), least, top)
-        new = saved(found.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed"))
-        tried = tried.union(new)
-    comp = saved(components(links), "components")
-    named = classes.join(comp, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = part.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("h1")).alias("h1"), "h2").join(named, ["h1", "h2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), (F.coalesce("component", "doc_id") == F.col("doc_id")).alias("kept"))
+        mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main"), (F.sum("n") - F.max("n")).alias("strangers")).where("comps > 1")
+        mixed = saved(mixed.select("key", "main", "strangers"), "mixed")
+        return saved(g.join(mixed, "key").withColumn("stranger", F.col("comp") != F.col("main")), "between")
+
+    def blocks(g: DataFrame, far: bool) -> DataFrame:
+        """Strangers (stranger true) and the members that they meet (false) by (key, chunk, block): those of their chunk, or if far of all chunks."""
+        columns = ["key", "chunk", "block", "rep", "bands", "comp"]
+        # by a hash that doesn't follow the chunk's
+        own = F.pmod(F.xxhash64("key", "rep", F.lit(1)), F.col("parts")).cast("int")
+        g = g.withColumn("parts", F.ceil(F.col("strangers") / CHUNK).cast("int") if far else F.lit(1))
+        here = g.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        there = g.where("stranger").withColumn("block", own)
+        if far:
+            there = there.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / CHUNK).cast("int") - 1)))
+        return here.select(*columns, F.lit(False).alias("stranger")).union(there.select(*columns, F.lit(True).alias("stranger")))
+
+    def dealt(g: DataFrame) -> DataFrame:
+        first = ["key", "chunk", "block"]
+        return g.select(*first, *(c for c in g.columns if c not in first)).repartition("key", "chunk", "block").sortWithinPartitions("key", "chunk", "block", "stranger", "rep")
+
+    g = between_components(links)
+    sketches = reps.select("rep", "sketch")
+    near = dealt(blocks(g, far=False).join(sketches, "rep"))
+    new = saved(best_across(near, least, 3).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links, tried = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed")), pairs.union(new)
+
+    # all that is left, by finer sketches; whatever has no text has no candidate
+    far = saved(blocks(between_components(links), far=True).join(saved(fine_sketches(texts, shingle), "fine"), "rep"), "blocks")
+    found = saved(all_across(dealt(far), fine_least), "found")
+    new = saved(found.where("b is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed"))
+    dense = found.where("b is null").select(F.col("a").alias("key"), "chunk", "block")
+    if not dense.isEmpty():
+        dense = saved(far.join(dense, ["key", "chunk", "block"], "left_semi"), "dense")
+        sets = saved(full_sets(texts.join(dense.select("rep").distinct(), "rep", "left_semi"), shingle), "sets")
+        links = links.union(saved(confirmed_in_place(dealt(dense.join(sets, "rep")), fine_least, percent), "confirmed"))
+    return links
