@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -10,15 +12,15 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from skein.llm import queries as Q
+from skein.llm import embedding_dedup, queries as Q
 from skein.llm.chat import escaped, format_trees, unescaped
-from skein.llm.common import LOWER, SPACE, UPPER, components
+from skein.llm.common import LOWER, SPACE, UPPER, components, shared_dir
 from skein.llm.embedding_dedup import embedding_duplicates
 from skein.llm.line_dedup import dedup_lines
 from skein.llm.minhash_dedup import near_duplicates, odd_sketch, similarity
-from skein.llm.packing import best_two_fit, packed, tokenized
+from skein.llm.packing import best_fit_decreasing, best_two_fit, packed, tokenized
 from skein.llm.quality_rules import quality
-from skein.llm.secret_scan import KINDS, find_secrets, redact, scan, window_entropies
+from skein.llm.secret_scan import ALLOWED, CLASSES, KINDS, RUN, find_secrets, redact, scan, window_entropies
 from skein.llm.sentencepiece_codec import Codec, decode, encode
 from skein.llm.token_counts import count_tokens
 from skein.llm.toxicity import Chain, default_categories, score, train
@@ -86,10 +88,21 @@ def test_chat_trees(spark):
     assert out.keys() == {(1, 1), (1, 2), (2, 1), (4, 1), (4, 2), (5, 1)}
     assert out[1, 1].leaf == 4 and out[1, 2].leaf == 3 and out[4, 1].leaf == 2 and out[5, 1].n_turns == 70
     assert out[1, 2].formatted == "<s>[INST]user[/INST]\nq</s>\n<s>[INST]assistant[/INST]\ngood</s>\n<s>[INST]user[/INST]\n</s>\n"
-    assert "".join(s.text for s in out[1, 1].segments) == out[1, 1].formatted
+    assert [out[1, 2].formatted[r.start : r.end] for r in out[1, 2].loss] == ["good"] and [out[1, 1].formatted[r.start : r.end] for r in out[1, 1].loss] == ["bad"]
     assert format_trees(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chat_odd_rows(spark, tmp_path):
+    """Null texts, roles, turns and ids, repeated rows and columns with clashing names."""
+    rows = [(1, 0, "user", None), (1, 1, "assistant", "</s> ok ~"), (1, 1, "assistant", "</s> ok ~"), (1, None, None, "x"), (None, 0, "assistant", "a"), (None, None, "user", ""), (2, 0, "assistant", "")]
+    spark.createDataFrame([(*r, "?", "?") for r in rows], "conv_id long, turn long, role string, text string, loss string, node string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in Q.op2_chat(spark, str(tmp_path)).collect()}
+    assert {k: (r.n_turns, r.loss_chars) for k, r in got.items()} == {1: (4, 18), None: (2, 1), 2: (1, 0), -7: (2, 21)}
+    assert got[1].loss_sha256 == hashlib.sha256("</s> ok ~</s> ok ~".encode()).hexdigest()
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/none/conversations.parquet")
+    assert [r.conv_id for r in Q.op2_chat(spark, f"{tmp_path}/none").collect()] == [-7]
+
+
 def test_chat_escapes_are_reversible(spark):
     texts = ODD + ["~0~1~", "<s><s>[INST][/INST]</s>", "[/[INST]INST]", "~<s>~~</s>"]
     r = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escaped(F.col("t")).alias("e"), unescaped(escaped(F.col("t"))).alias("u")).collect()
@@ -166,6 +179,32 @@ def test_minhash_hot_bands(spark, monkeypatch):
     assert got == brute_components(sets, 85)
 
 
+def test_minhash_below_the_threshold(spark, monkeypatch):
+    """Blocks full of pairs just below the threshold are confirmed in place, and links among them are found."""
+    from skein.llm import minhash_dedup
+
+    monkeypatch.setattr(minhash_dedup, "CHUNK", 16)
+    monkeypatch.setattr(minhash_dedup, "DENSE", 1)
+    rng, texts = np.random.default_rng(6), {}
+    base = [f"w{i}" for i in range(120)]
+    for k in range(150):
+        w = list(base)
+        for i in rng.choice(120, 3 if k % 10 else 1, replace=False):
+            w[int(i)] = f"x{k}y{int(i)}"
+        texts[k] = " ".join(w)
+    sets = {k: {tuple(t.split()[i : i + 3]) for i in range(118)} for k, t in texts.items()}
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 88).collect()}
+    assert got == brute_components(sets, 88) and len(set(got.values())) > 30
+
+
+def test_minhash_texts_of_one_doc_id(spark):
+    """Every text of a repeated doc_id is linked for itself; the doc_id is one node."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(5, words(1)), (5, words(2)), (5, words(3)), (9, words(3) + " more"), (3, words(2)), (8, words(4)), (8, words(4)), (None, words(1))]
+    got = sorted((r.doc_id or 0, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect() if r.doc_id)
+    assert got == [(3, 3), (5, 3), (5, 3), (5, 3), (8, 8), (8, 8), (9, 3)]
+
+
 def test_minhash_odd_rows(spark, odd):
     got = near_duplicates(odd, 3, 85).collect()
     assert len(got) == odd.count()
@@ -194,11 +233,11 @@ def test_components(spark):
 
 def brute_lines(rows, least_docs=5):
     key = lambda x: x.strip(SPACE).translate(LOW)
-    held = collections.defaultdict(list)
+    held = collections.defaultdict(set)
     for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= 40:
-                held[k].append(-(1 << 63) if i is None else i)
+                held[k].add(-(1 << 63) if i is None else i)
     common = {k: max(v) for k, v in held.items() if len(v) >= least_docs}
     out = []
     for i, t in rows:
@@ -211,7 +250,8 @@ def brute_lines(rows, least_docs=5):
 def test_line_dedup(spark, docs, odd):
     lines = ["A line that is long enough to count, ÉCOLE " + str(i) for i in range(9)]
     more = [(1000 + k, "\n".join(["  " + lines[j].upper() + "\t" if k % 2 else lines[j].replace("É", "é") for j in range(9) if (k + j) % 3] + ["x"])) for k in range(14)]
-    extra = spark.createDataFrame([*more, (None, lines[1]), more[3], more[3], (2000, None)], "doc_id long, text string")
+    once = [(3000, "a line that only one doc_id holds, though in six rows")] * 6 + [(3001, "a line that only one doc_id holds, though in six rows")]
+    extra = spark.createDataFrame([*more, (None, lines[1]), more[3], more[3], (2000, None), *once], "doc_id long, text string")
     for d in (docs.select("doc_id", "text"), docs.select("doc_id", "text").union(extra), odd.select("doc_id", "text"), docs.select("doc_id", "text").limit(0)):
         got = dedup_lines(d).collect()
         assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in got), key=str) == brute_lines([(r.doc_id, r.text) for r in d.collect()])
@@ -244,19 +284,64 @@ def test_secrets_base(spark, sf, docs):
 
 
 def test_secrets_entropy(spark, odd):
-    import math
-
     run = "aZ3kQ9xT7bLm2WcV5nRf8Yp4"
     direct = [-sum(c / 20 * math.log2(c / 20) for c in collections.Counter(run[i : i + 20]).values()) for i in range(len(run) - 19)]
     assert np.allclose(window_entropies(run, 20), direct)
     assert find_secrets(f"see {run} here") == [("mixed_entropy", 4, 4 + len(run))]
     assert find_secrets("see EXAMPLEaZ3kQ9xT7bLm2WcV here") == [] and find_secrets("internationalizationcounterrevolutionary") == []
+    assert find_secrets(f"{run}sample{run}") == [("mixed_entropy", 0, 24), ("mixed_entropy", 30, 54)]
+    assert find_secrets("q7x2m9c4v8b1n5z3l6w0p") == [("lower_entropy", 0, 21)] and find_secrets("Q7X2M9C4V8B1N5Z3L6W0P") == [("upper_entropy", 0, 21)]
+    assert find_secrets("Donaudampfschifffahrtsgesellschaft getUserAccountInformationService") == []
     got = {r.doc_id: r for r in redact(scan(odd)).collect()}
     assert got[100].spans == [] and got[100].text is None and got[4].text == "a" and got[4].rep == "?"
     one = spark.createDataFrame([(1, "x password=abcdef12 y")], "doc_id long, text string")
     assert redact(one).first().text == "x [assign] y"
 
 
+def brute_entropy(text):
+    """All spans, window by window from scratch, and every span against every other."""
+    out = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in brute_base(text).split(",") if x)]
+    for kind, (chars, needs, bits) in CLASSES.items():
+        good = set()
+        for run in RUN.finditer(text):
+            places = [m.span() for a in ALLOWED for m in re.finditer(f"(?=({re.escape(a)}))", run[0].lower()) for m in [re.compile(re.escape(a)).match(run[0].lower(), m.start())]]
+            for m in chars.finditer(run[0]):
+                for i in range(m.start(), m.end() - 19):
+                    w = run[0][i : i + 20]
+                    h = -sum(c / 20 * math.log2(c / 20) for c in collections.Counter(w).values())
+                    if h >= bits - 1e-9 and all(set(w) & set(n) for n in needs) and not any(a < i + 20 and i < b for a, b in places):
+                        good.add((run.start() + i, m.start() + run.start()))
+        spans = []
+        for i, origin in sorted(good):
+            if spans and spans[-1][2] == origin and i <= spans[-1][1]:
+                spans[-1][1] = i + 20
+            else:
+                spans.append([i, i + 20, origin])
+        out += [(kind, a, b) for a, b, _ in spans if not any(x <= a and b <= y for _, x, y in out)]
+    return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+
+
+def test_secrets_against_a_plain_rescan(docs):
+    rng = np.random.default_rng(12)
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", UPPER + LOWER, UPPER + LOWER + "0123456789+/=_-"]
+    texts = [r.text or "" for r in docs.collect()]
+    for _ in range(300):
+        parts = ["".join(rng.choice(list(alphabets[int(rng.integers(6))]), int(rng.integers(5, 60)))) for _ in range(3)]
+        texts.append(str(rng.choice(["", "x ", "example", "_"])) + str(rng.choice(["sample", " ", "=", "-", "1234567890"])).join(parts))
+    for t in texts:
+        assert find_secrets(t) == brute_entropy(t), t
+
+
+def test_secrets_are_linear_in_their_number():
+    rng, took = np.random.default_rng(13), []
+    for n in (2000, 8000):
+        t = " ".join("".join(rng.choice(list(UPPER + LOWER + "0123456789"), 24)) for _ in range(n))
+        began = time.process_time()
+        assert len(find_secrets(t)) >= 0.9 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0]
+
+
 def check_bins(lengths, size=2048):
     bins = best_two_fit(lengths, size)
     assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
@@ -272,6 +357,26 @@ def test_best_two_fit():
     # the smallest piece, 3, makes way for 2 and 2
     assert [sorted(b) for b in best_two_fit([6, 3, 2, 2], 10)] == [[0, 2, 3], [1]]
     assert check_bins([]) == 0 and check_bins([2048] * 3) == 3
+    for _ in range(50):
+        lengths = rng.integers(1, 2049, int(rng.integers(0, 60))).tolist()
+        bins, room = best_fit_decreasing(lengths, 2048), []
+        for n in sorted(lengths, reverse=True):  # the same bin by bin
+            fits = [k for k, r in enumerate(room) if r >= n]
+            if fits:
+                room[min(fits, key=lambda k: room[k])] -= n
+            else:
+                room.append(2048 - n)
+        assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and sorted(2048 - sum(lengths[i] for i in b) for b in bins) == sorted(room)
+
+
+def test_packing_deals_rows_without_an_id(spark, monkeypatch):
+    from skein.llm import packing
+
+    monkeypatch.setattr(packing, "GROUP_ROWS", 500)
+    rows = spark.createDataFrame([(None, 0, 0, 700)] * 4000, "doc_id long, piece int, start long, length long")
+    rows.write.parquet(path := f"{shared_dir(spark)}/nameless")
+    got = packed(spark.read.parquet(path)).groupBy(F.shiftright("sequence_id", 32).alias("g")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sequence_id").alias("s")).collect()
+    assert len(got) == 8 and sum(r.n for r in got) == 4000 and max(r.n for r in got) < 650 and all(r.s == -(-r.n // 2) for r in got)
 
 
 def test_packing(spark, sf, docs, odd):
@@ -320,6 +425,20 @@ def test_embeddings(spark):
     assert embedding_duplicates(d.limit(0)).count() == 0
 
 
+def test_embeddings_of_mixed_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [3.0, 0.1, 0.0]), (5, [0.0, 1.0, 0.0]), (6, None), (None, [1.0, 0.0]), (7, [1.0] * 40), (8, [2.0] * 40), (8, [2.0] * 40)]
+    rows += [(100 + k, [float(k % 7), 1.0, float(k % 3), float(k)]) for k in range(50)] + [(1000 + k, [1.0] + [0.0] * k) for k in range(5, 30)]
+    d = spark.createDataFrame([(*r, "?", "?", "?") for r in rows], "vec_id long, embedding array<double>, v string, component_id string, rep string")
+    for lengths in (16, 2):  # with and without a sample for each length
+        embedding_dedup.LENGTHS, before = lengths, embedding_dedup.LENGTHS
+        got = sorted((r.vec_id or 0, r.n_links, r.component_id) for r in embedding_duplicates(d).collect())
+        embedding_dedup.LENGTHS = before
+        good = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if v and i is not None]
+        want = [(i or 0, 0 if i is None or not v else sum(len(w) == len(v) and np.dot(np.array(v) / np.linalg.norm(v), w) >= 0.95 for _, w in good) - 1) for i, v in rows]
+        assert [(i, n) for i, n, _ in got] == sorted(want)
+        assert {i: c for i, _, c in got if i in (1, 2, 3, 4, 5, 6, 7, 8)} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7, 8: 7}
+
+
 def link_recall(spark, planted):
     """The share of all links that are found, in the vectors of sf0.1 and the planted ones; each vec_id has no link too many."""
     d = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
@@ -367,7 +486,7 @@ def test_embeddings_recall(spark):
 
 def test_toxicity(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality", "toxic")
     chain = train(docs, labels.where("doc_id % 3 <> 0"), default_categories())
     held = score(docs, chain).join(labels.where("doc_id % 3 = 0"), "doc_id").groupBy(F.col("toxic") == 1, "rejected").count().collect()
     n = {(r[0], r[1]): r[2] for r in held}
@@ -377,6 +496,8 @@ def test_toxicity(spark, odd):
     out = score(odd, chain)
     assert out.count() == odd.count() and out.where("rejected is null or p_toxic is null or rejected").count() == 0 and "rep" in out.columns
     assert score(odd.limit(0), chain).count() == 0
+    twice = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (2, None, 0), (2, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    assert train(odd.select("doc_id", "text"), twice, default_categories()).names == ["poor", "toxic"]
     none = train(odd.select("doc_id", "text"), labels.limit(0), default_categories())
     assert score(odd, none).where("rejected").count() in (0, odd.count())
 
@@ -408,6 +529,16 @@ def test_quality_odd_rows(spark, odd):
     assert quality(odd.limit(0)).count() == 0
 
 
+def test_host_verdicts_decide(spark):
+    """Documents that just pass their own rules stay on a host that seldom fails and go on one that often does."""
+    clean, bad = " ".join(f"w{i}" for i in range(100)), "too few"
+    close = " ".join([f"w{i}" for i in range(91)] + [f"w{i}" for i in range(9)])  # 18 of 100 words repeat: a margin of 0.1
+    rows = [(i, clean, "good") for i in range(400)] + [(1000 + i, bad if i % 3 == 0 else clean, "poor") for i in range(400)] + [(5000, close, "good"), (5001, close, "poor")]
+    got = {r.doc_id: r for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[5000].kept and not got[5001].kept and not got[5001].base_failed and got[1001].kept and got[0].kept
+    assert {k for k, r in got.items() if not r.kept and not r.base_failed} == {5001}
+
+
 def test_host_verdicts(spark):
     good, bad = " ".join(f"w{i}" for i in range(20)), "too few"
     rows = [(i, good, "clean") for i in range(300)] + [(1000 + i, bad if i % 10 else good, "junk") for i in range(300)] + [(2000, bad, "small"), (2001, good, "small")]
@@ -495,3 +626,22 @@ def test_sql_agrees(spark, sf):
         got, want = Q.queries()[name](spark, sf), con.execute(sql)
         names = [c[0] for c in want.description]
         assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(map(tuple, want.fetchall()), key=str), name
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing columns and an empty table, through each stage."""
+    import corpus_pipeline as P
+
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), *(T.StructField(c, T.StringType()) for c in CLASHES)])
+    more = ["?"] * len(CLASHES)
+    rows = [(i, t, None, None, len(t), *more) for i, t in enumerate(ODD)] + [(100, None, None, None, None, *[None] * len(CLASHES)), (None, "no id here", "en", "s", 10, *more), (None, None, None, None, None, *more), (7, "another text of a known id", "en", "s", 26, *more)]
+    rows += [rows[12], rows[12]]
+    odd = spark.createDataFrame(rows, schema)
+    kept = {"toxicity": len(rows), "line_dedup": len(rows), "minhash_dedup": len(rows) - 2, "secret_scan": len(rows)}
+    for d, n in ((odd, kept), (odd.limit(0), dict.fromkeys(kept, 0))):
+        for name, stage in P.STAGES[:-1]:
+            out = stage(spark, d, str(tmp_path))
+            assert out.columns == d.columns and out.count() == n[name], name
+        pieces = P.packing(spark, d, str(tmp_path))
+        assert pieces.where("start = 0").count() == d.count() and pieces.where("offset + length > 2048").count() == 0
