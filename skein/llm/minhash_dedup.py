@@ -9,12 +9,11 @@
    that a hot band is spread over many tasks. In a chunk, sketches are XORed in blocks; the
    population counts estimate similarities, and each member's closest partner becomes a candidate.
 4. Candidates are confirmed on full shingle sets, and components are taken.
-5. Members outside a band's dominant component meet further members: first the best few of their own
-   chunk, then, in blocks, all chunks of that band, for which finer sketches (2048 samples in 4096 bits)
-   keep the candidates near the threshold few. A block with very many candidates all the same (texts that
-   are all a little less alike than the threshold) lists none of them, but has its members' full sets
-   brought along and confirms in place. Pairs inside a component are never listed, so a hot group of near
-   copies costs little.
+5. Members outside a band's dominant component meet, in blocks, all chunks of that band; finer sketches
+   (2048 samples in 4096 bits) keep the candidates near the threshold few. A block with very many
+   candidates all the same lists none of them, but has its members' full sets brought along and confirms
+   in place, where one link joins two components and ends all other pairs between them. Pairs inside a
+   component are never listed, so a hot group of near copies costs little.
 
 Rows with a null doc_id count as one document id of their own (null stays null in the result).
 Null or blank texts have an empty set and are linked with nothing. Rows that repeat a doc_id each
@@ -253,25 +252,6 @@ def _candidates(t: pa.Table, s: int, e: int, least: float, samples: int, bits: i
         yield s + r, s + cols, est
 
 
-def best_across(groups: DataFrame, least: float, top: int) -> DataFrame:
-    """Candidates between components: each stranger of a (key, chunk, block) with its best members of other components there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, 3):
-            at, rep, found = _bounds(t, 3), np.asarray(t.column("rep")), []
-            for s, e in zip(at[:-1], at[1:]):
-                for rows, cols, est in _candidates(t, s, e, least, SAMPLES, BITS):
-                    ok = est >= least
-                    if len(cols) > top:
-                        ok &= est >= np.partition(est, -top, axis=1)[:, -top][:, None]
-                    x, y = np.nonzero(ok)
-                    found.append((rows[x], cols[y]))
-            if found:
-                yield _pairs(rep, np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
-
-    return groups.mapInArrow(run, PAIRS).distinct()
-
-
 BLOCKS = "a long, b long, chunk int, block int"
 
 
@@ -367,8 +347,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         links = set_links(docs, part, classes, shingle, percent, scratch)
         # the classes of one doc_id are one node
         ids = scratch.saved(numbered.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b"), "repeated")
-        twins = numbered.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
-        comp = scratch.saved(components(links.union(twins)), "components")
+        if not ids.isEmpty():
+            links = links.union(numbered.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct())
+        comp = scratch.saved(components(links), "components")
         named = scratch.saved(classes.select("rep", "doc_id").join(comp, F.col("rep") == F.col("node"), "left").select("rep", "doc_id", F.coalesce("component", "rep").alias("component")), "named")
         first = scratch.saved(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "first")
         named = saved(named.join(first, "component").select("rep", "component_id"), "named")
@@ -395,41 +376,30 @@ def set_links(docs: DataFrame, part: DataFrame, classes: DataFrame, shingle: int
     texts = saved(texts.join(wanted.hint("merge"), ["doc_id", "text_hash"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
     links = saved(confirmed(pairs, texts, shingle, percent), "confirmed")
 
-    def between_components(links: DataFrame) -> DataFrame:
-        """The rows of bands that hold several components, with comp, whether it is another than the band's main one (stranger), and the strangers' number."""
-        comp = saved(components(links), "components")
-        g = groups.join(comp, F.col("rep") == F.col("node"), "left").select("key", "chunk", "rep", "sketch", "bands", "size", F.coalesce("component", "rep").alias("comp"))
-        counts = g.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main"), (F.sum("n") - F.max("n")).alias("strangers")).where("comps > 1")
-        mixed = saved(mixed.select("key", "main", "strangers"), "mixed")
-        return saved(g.join(mixed, "key").withColumn("stranger", F.col("comp") != F.col("main")), "between")
-
-    def blocks(g: DataFrame, far: bool) -> DataFrame:
-        """Strangers (stranger true) and the members that they meet (false) by (key, chunk, block): those of their chunk, or if far of all chunks."""
-        columns = ["key", "chunk", "block", "rep", "bands", "comp"]
-        # by a hash that doesn't follow the chunk's
-        own = F.pmod(F.xxhash64("key", "rep", F.lit(1)), F.col("parts")).cast("int")
-        g = g.withColumn("parts", F.ceil(F.col("strangers") / CHUNK).cast("int") if far else F.lit(1))
-        here = g.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        there = g.where("stranger").withColumn("block", own)
-        if far:
-            there = there.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / CHUNK).cast("int") - 1)))
-        return here.select(*columns, F.lit(False).alias("stranger")).union(there.select(*columns, F.lit(True).alias("stranger")))
+    # rows of bands that hold several components; strangers belong to another than the band's main one
+    comp = saved(components(links), "components")
+    g = groups.join(comp, F.col("rep") == F.col("node"), "left").select("key", "chunk", "rep", "bands", "size", F.coalesce("component", "rep").alias("comp"))
+    counts = g.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main"), (F.sum("n") - F.max("n")).alias("strangers")).where("comps > 1")
+    mixed = saved(mixed.select("key", "main", "strangers"), "mixed")
+    g = g.join(mixed, "key").withColumn("parts", F.ceil(F.col("strangers") / CHUNK).cast("int"))
+    # a stranger goes, with its block, to all chunks; a member, in its chunk, meets all blocks of strangers (but for itself)
+    # by a hash that doesn't follow the chunk's
+    own = F.pmod(F.xxhash64("key", "rep", F.lit(1)), F.col("parts")).cast("int")
+    place = lambda chunk, block, stranger: F.struct(chunk.alias("chunk"), block.alias("block"), F.lit(stranger).alias("stranger"))
+    here = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: place(F.col("chunk"), k, False))
+    there = F.transform(F.sequence(F.lit(0), F.ceil(F.col("size") / CHUNK).cast("int") - 1), lambda k: place(k, own, True))
+    g = g.withColumn("at", F.explode(F.when(F.col("comp") != F.col("main"), F.concat(here, there)).otherwise(here)))
+    g = g.select("key", "at.*", "rep", "bands", "comp")
 
     def dealt(g: DataFrame) -> DataFrame:
         first = ["key", "chunk", "block"]
-        return g.select(*first, *(c for c in g.columns if c not in first)).repartition("key", "chunk", "block").sortWithinPartitions("key", "chunk", "block", "stranger", "rep")
-
-    g = between_components(links)
-    sketches = reps.select("rep", "sketch")
-    near = dealt(blocks(g, far=False).join(sketches, "rep"))
-    new = saved(best_across(near, least, 3).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links, tried = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed")), pairs.union(new)
+        return g.select(*first, *(c for c in g.columns if c not in first)).repartition(*first).sortWithinPartitions(*first, "stranger", "rep")
 
-    # all that is left, by finer sketches; whatever has no text has no candidate
-    far = saved(blocks(between_components(links), far=True).join(saved(fine_sketches(texts, shingle), "fine"), "rep"), "blocks")
+    # whatever has no text has no candidate
+    far = saved(g.join(saved(fine_sketches(texts, shingle), "fine"), "rep"), "blocks")
     found = saved(all_across(dealt(far), fine_least), "found")
-    new = saved(found.where("b is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    new = found.where("b is not null").select("a", "b").join(pairs, ["a", "b"], "left_anti")
     links = links.union(saved(confirmed(new, texts, shingle, percent), "confirmed"))
     dense = found.where("b is null").select(F.col("a").alias("key"), "chunk", "block")
     if not dense.isEmpty():
