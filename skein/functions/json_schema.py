@@ -423,13 +423,25 @@ class _Compiler:
         return F.concat(*parts)
 
 
+def whole_json(text: Column) -> Column:
+    """text as VARIANT; null where it isn't JSON as a whole. Spark's own parser passes over what follows the first value.
+
+    The text is read as one member of an object that a second one closes, named by the text's hash: whatever ends the object
+    early or adds members to it leaves another object than that.
+    """
+    mark = F.xxhash64(text).cast("string")
+    around = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":null}')))
+    keys = F.map_keys(F.try_variant_get(around, "$", "map<string,variant>"))
+    return F.when((F.size(keys) == 2) & F.array_contains(keys, mark), F.try_variant_get(around, "$.v", "variant"))
+
+
 def _read(schema: object) -> object:
     return json.loads(schema, parse_float=Decimal) if isinstance(schema, (str, bytes)) else schema
 
 
 def _located(text: Column, schema: object, formats: bool, resources: dict[str, object] | None) -> tuple[Column, list[Located]]:
     schema = _read(schema)
-    v = F.try_parse_json(text)
+    v = whole_json(text)
     document = _Document(schema, {k: _read(x) for k, x in (resources or {}).items()}, formats)
     return v, _Compiler(document).located(v, schema, (), "", "")
 
@@ -473,7 +485,7 @@ class Registry:
 
     def result(self, kind: Column, text: Column) -> Column:
         """valid (under one revision at least), invalid, not_json or not_registered."""
-        out = F.when(~F.coalesce(kind.isin(*self.types), F.lit(False)), "not_registered").when(F.try_parse_json(text).isNull(), "not_json")
+        out = F.when(~F.coalesce(kind.isin(*self.types), F.lit(False)), "not_registered").when(whole_json(text).isNull(), "not_json")
         for name, revisions in self.types.items():
             out = out.when((kind == name) & (_count([conforms(text, s) for s in revisions]) > 0), "valid")
         return out.otherwise("invalid")

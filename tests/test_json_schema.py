@@ -7,7 +7,7 @@ from skein.functions.json_schema import conforms
 
 #: schema, texts that are valid, texts that are not
 CASES = [
-    (True, ["1", "null", "{}"], ["{", "", None]),
+    (True, ["1", "null", "{}", ' [1, {"v": 2}] '], ["{", "", None, "{}}", "1 2", "1,2", "1} x", '1,"w":2', '1,"v":2', "[1]]", "null x"]),
     (False, [], ["1", "null"]),
     ({"type": "integer"}, ["1", "1.0", "-3"], ["1.5", '"1"', "null", "true"]),
     ({"type": ["string", "null"]}, ['"a"', "null"], ["1", "[]"]),
