@@ -1,6 +1,8 @@
 """A training-data pipeline over documents: each stage's result is written, and read by the next.
 
-Documents are rows with a doc_id; rows without one pass through the stages that go by doc_id.
+It needs skein.llm and goes with it. Columns besides doc_id and text pass through all stages but the last,
+whatever their names. An empty table gives an empty result. What each stage does with rows without a doc_id,
+without a text, or that repeat a doc_id stands with it.
 """
 
 from __future__ import annotations
@@ -26,20 +28,24 @@ def sized(docs: DataFrame, text: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain rejects go."""
-    chain = train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), default_categories())
+    """Documents that the classifier chain rejects go. Every row is judged by its text; null and empty texts stay."""
+    chain = train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), default_categories())
     return score(docs, chain).where(~F.col("rejected")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of 40 or more characters in 5 or more documents stay in one of them."""
+    """Lines of 40 or more characters in 5 or more documents stay in one of them.
+
+    Rows that share a doc_id are one document, those without one too (the one that gives way to all others). Null texts stay null.
+    """
     return sized(docs, dedup_lines(docs))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays, that with the smallest doc_id.
 
-    Each row is linked for itself, so rows that repeat a doc_id go only as copies of another row; rows without one stay.
+    Each row is linked for itself, so rows that repeat a doc_id go only as copies of another row; rows without one stay,
+    and so do null and blank texts, which are nobody's copies.
     """
     rows = saved(docs.withColumn("__skein_row", F.monotonically_increasing_id()), "rows")
     named = rows.where("doc_id is not null")
@@ -50,12 +56,15 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by their kind; every document stays."""
+    """Secrets are replaced by their kind; every row stays, null texts as they are."""
     return sized(docs, redact(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces (ids as little-endian uint32) with their places in sequences of 2048 tokens."""
+    """The documents' pieces (ids as little-endian uint32) with their places in sequences of 2048 tokens.
+
+    Every row has pieces of its own; a null or empty text has one, the closing id.
+    """
     pieces = tokenized(docs, tokenizer_path("word_bpe_49k.json"))
     # doc_id and piece need not be unique; the number stays as it is once written
     pieces = saved(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
