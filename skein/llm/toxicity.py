@@ -1,15 +1,18 @@
 """Toxicity by a classifier chain (operator 8).
 
-Categories are predicted one after another by logistic models over the presence of words; each
-later model also reads the earlier categories' probabilities. For training, those come from models that
-have not seen the row (out of fold), so that later models learn from what they will meet. Words
-are chosen by how far their rates in the category and outside it lie apart, in standard errors.
+Categories are the labels' own columns, predicted one after another by logistic models over the
+presence of words; each later model also reads the earlier categories' probabilities. For training,
+those come from models that have not seen the row (out of fold), so that later models learn from
+what they will meet. Words are chosen by how far their rates in the category and outside it lie
+apart, in standard errors.
 
 Training takes at most max_rows labelled documents, those with the smallest hash of their doc_id
-(a documented bound; their word hashes are the only thing collected). Scoring reads every whole
-text. Labels that are null are ignored; a doc_id labelled twice takes the larger value. Null and
-empty texts get the bias only. Without labelled rows, or if a category has one value only, its
-model is the constant rate. Repeated rows are scored alike; other columns pass through.
+(a documented bound). Their words are counted by fold and category on the executors; the driver
+gets the chosen words, at most most for each model, and which row holds which of them. Scoring reads
+every whole text. Labels that are null are ignored; a doc_id labelled twice takes the larger value;
+of documents that repeat a labelled doc_id one is learnt from. Null and empty texts get the bias
+only. Without labelled rows, or if a category has one value only, its model is the constant rate.
+Repeated rows are scored alike; other columns pass through.
 """
 
 from __future__ import annotations
@@ -19,11 +22,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from .common import text_chunks, word_bytes_table, word_hashes
+from .common import Table, text_chunks, word_bytes_table, word_hashes
 
 FOLDS = 5
+#: Words chosen for a model at most, and the standard errors by which their rates must differ at least.
+MOST, LEAST_Z = 240, 5.5
+#: Documents that a chosen word must stand in.
+LEAST_DOCS = 5
 #: A cut of which fewer rejections are right is not taken; without any such cut the threshold is one half.
 LEAST_PRECISION = 0.9
 
@@ -89,18 +96,38 @@ def fit(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 30) -> tuple
     return w[:k], float(w[k])
 
 
-def choose_words(flat: np.ndarray, row: np.ndarray, y: np.ndarray, most: int, least_z: float) -> np.ndarray:
-    """The hashes whose rates differ most between y = 1 and y = 0, by at least least_z standard errors."""
-    if len(flat) == 0 or y.min() == y.max():
-        return np.zeros(0, np.uint64)
-    words, at = np.unique(flat, return_inverse=True)
-    yes, n1, n0 = np.bincount(at, y[row], len(words)), y.sum(), len(y) - y.sum()
-    no = np.bincount(at, minlength=len(words)) - yes
-    p = (yes + no) / len(y)
-    z = np.abs(yes / n1 - no / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    z[yes + no < 5] = 0
-    top = np.argsort(-z, kind="stable")[:most]
-    return np.sort(words[top[z[top] >= least_z]])
+def chosen_words(sample: DataFrame, names: list[str], most: int, least_z: float) -> dict[tuple[str, int], np.ndarray]:
+    """(category, fold left out, or -1 for none): the hashes of the words whose rates in the category and
+    outside it differ most, by at least least_z standard errors. sample: fold, words and the categories as 0 or 1."""
+    sides = [(c, f) for c in [None, *names] for f in range(FOLDS)]
+    here = {k: F.when((F.col("fold") == k[1]) & (F.lit(True) if k[0] is None else F.col(k[0]) == 1), 1).otherwise(0) for k in sides}
+    sums = [F.sum(v).alias(f"n{i}") for i, v in enumerate(here.values())]
+    rows = sample.agg(*sums).first()  # one row: documents by fold and category
+    known = {k: int(rows[i] or 0) for i, k in enumerate(sides)}
+    counts = sample.select(F.explode("words").alias("word"), "fold", *names).groupBy("word").agg(*sums)
+    at = {k: f"n{i}" for i, k in enumerate(sides)}
+
+    def total(c: str | None, out: int) -> tuple[Column, float]:
+        own = [(c, f) for f in range(FOLDS) if f != out]
+        return sum((F.col(at[k]) for k in own), F.lit(0)).cast("double"), float(sum(known[k] for k in own))
+
+    scores = []
+    for c in names:
+        for out in range(-1, FOLDS):
+            (both, n), (yes, n1) = total(None, out), total(c, out)
+            n0 = n - n1
+            if n1 and n0:
+                z = F.abs(yes / n1 - (both - yes) / n0) / F.sqrt(both / n * (1 - both / n) * (1 / n1 + 1 / n0) + 1e-12)
+                scores.append(F.struct(F.lit(f"{c}/{out}").alias("model"), F.when(both >= LEAST_DOCS, z).otherwise(0.0).alias("z")))
+    if not scores:
+        return {(c, f): np.zeros(0, np.uint64) for c in names for f in range(-1, FOLDS)}
+    best = Window.partitionBy("model").orderBy(F.col("z").desc(), "word")
+    top = counts.select("word", F.explode(F.array(*scores)).alias("_")).select("word", "_.*").where(F.col("z") >= least_z)
+    top = top.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most).select("model", "word").collect()  # at most most for each model
+    by: dict[str, list[int]] = {}
+    for r in top:
+        by.setdefault(r.model, []).append(r.word)
+    return {(c, f): np.sort(np.array(by.get(f"{c}/{f}", []), np.int64).view(np.uint64)) for c in names for f in range(-1, FOLDS)}
 
 
 def presence(flat: np.ndarray, row: np.ndarray, n: int, words: np.ndarray) -> np.ndarray:
@@ -125,27 +152,23 @@ class Chain:
         return out
 
 
-def train_chain(flat: np.ndarray, sizes: np.ndarray, fold: np.ndarray, labels: dict[str, np.ndarray], most: int = 240, least_z: float = 5.5) -> Chain:
+def train_chain(flat: np.ndarray, sizes: np.ndarray, fold: np.ndarray, labels: dict[str, np.ndarray], words: dict[tuple[str, int], np.ndarray]) -> Chain:
     """The chain over the categories in their order; the last one's threshold is the best F1 out of fold.
 
-    flat: the rows' distinct word hashes behind one another, sizes of them each.
+    flat: the rows' distinct word hashes behind one another, sizes of them each; words: see chosen_words.
     """
     n = len(sizes)
     row = np.repeat(np.arange(n, dtype=np.int32), sizes)
     unseen, models = np.zeros((n, 0)), []
-    for y in labels.values():
+    for name, y in labels.items():
         y = y.astype(float)
         out = np.zeros(n)
         for f in range(FOLDS):
             test = fold == f
-            own = ~test[row]
-            number = np.cumsum(~test) - 1
-            words = choose_words(flat[own], number[row[own]], y[~test], most, least_z) if (~test).any() else np.zeros(0, np.uint64)
-            x = presence(flat, row, n, words)
+            x = presence(flat, row, n, words[name, f])
             w, b = fit(np.hstack([x, unseen])[~test], y[~test])
-            out[test] = Model(words, w, b).logit(x[test], unseen[test])
-        words = choose_words(flat, row, y, most, least_z) if n else np.zeros(0, np.uint64)
-        models.append(Model(words, *fit(np.hstack([presence(flat, row, n, words), unseen]), y)))
+            out[test] = Model(words[name, f], w, b).logit(x[test], unseen[test])
+        models.append(Model(words[name, -1], *fit(np.hstack([presence(flat, row, n, words[name, -1]), unseen]), y)))
         unseen = np.hstack([unseen, _sigmoid(out)[:, None]])
     threshold = 0.5
     if n and 0 < y.sum() < n:
@@ -162,7 +185,7 @@ def train_chain(flat: np.ndarray, sizes: np.ndarray, fold: np.ndarray, labels: d
     return Chain(list(labels), models, threshold)
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 12_000) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 12_000, most: int = MOST, least_z: float = LEAST_Z) -> Chain:
     """A chain for categories (name: a boolean over text and the labels' columns), in their order.
 
     docs: doc_id, text; labels: doc_id and the label columns. At most max_rows labelled documents are used.
@@ -171,13 +194,32 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*(F.max(c).alias(c) for c in names)).dropna(subset=names)
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # at most max_rows ids and labels
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", *(c.cast("int").alias(k) for k, c in categories.items()))
-    got = word_sets(rows, ["doc_id", *categories]).orderBy("doc_id").limit(max_rows).toArrow()
-    fold = ((got["doc_id"].to_numpy().astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(FOLDS)
-    words = got["words"].combine_chunks()
-    size = pa.compute.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-    return train_chain(flat.view(np.uint64), size, fold, {k: pa.compute.fill_null(got[k], 0).to_numpy() for k in categories})
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
+    rows = rows.groupBy("doc_id", *names).agg(F.min("text").alias("text"))
+    rows = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"), *(F.coalesce(c, F.lit(False)).cast("int").alias(k) for k, c in categories.items()))
+    sample = Table(word_sets(rows, ["doc_id", "fold", *categories]), "labelled")
+    words = chosen_words(sample.df, list(categories), most, least_z)
+    used = np.unique(np.concatenate(list(words.values()))) if words else np.zeros(0, np.uint64)
+
+    @F.arrow_udf("array<long>")
+    def held(column: pa.Array) -> pa.Array:
+        flat, sizes = _lists(column)
+        hit = np.isin(flat, used)
+        at = np.concatenate(([0], np.cumsum(np.bincount(np.repeat(np.arange(len(sizes)), sizes)[hit], minlength=len(sizes))))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(flat[hit].view(np.int64)))
+
+    # at most max_rows rows, with the chosen words alone
+    got = sample.df.select("doc_id", "fold", *categories, held("words").alias("words")).toArrow().sort_by("doc_id")
+    sample.drop()
+    flat, sizes = _lists(got["words"].combine_chunks())
+    return train_chain(flat, sizes, got["fold"].to_numpy(), {k: got[k].to_numpy() for k in categories}, words)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists behind one another, and each list's size."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64), sizes
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
@@ -202,13 +244,6 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     return out.select(*kept, *(F.col(f"__skein_p.{n}").alias(f"p_{n}") for n in names), F.col("__skein_p.rejected").alias("rejected"))
 
 
-#: The weak categories' words; the last category is the label itself.
-INSULTS = ["clown", "idiot", "loser", "moron", "scum", "trash"]
-CONTEMPT = ["disgusting", "pathetic", "stupid", "worthless"]
-
-
 def default_categories() -> dict[str, Column]:
-    """insult and contempt (toxic documents with such a word) before toxic."""
-    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
-    has = lambda words: F.coalesce(F.lower("text").rlike(r"\b(" + "|".join(words) + r")\b"), F.lit(False))
-    return {"insult": toxic & has(INSULTS), "contempt": toxic & has(CONTEMPT), "toxic": toxic}
+    """poor (labelled as of low quality) before toxic: the labels' own columns."""
+    return {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
